@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataq.llm import exact_dedup, url_filter
+from strataq.llm import decontaminate, exact_dedup, mixing, url_filter
 
 
 def _read(spark, d, name):
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def op1_mixing(spark, d):
+    out = mixing.mix(_read(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 def op4_exact_dedup(spark, d):
     out = exact_dedup.exact_dedup(_read(spark, d, "documents"), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -20,9 +25,16 @@ def op6_url_filter(spark, d):
     return url_filter.judge_urls(_read(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_decontaminate(spark, d):
+    out = decontaminate.decontaminate(_read(spark, d, "documents"), _read(spark, d, "benchmark"))
+    return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", "matched")
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_url_filter": op6_url_filter,
+    "op8_decontaminate": op8_decontaminate,
 }
 
 ORACLE = {
