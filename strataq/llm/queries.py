@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataq.llm import decontaminate, exact_dedup, mixing, url_filter
+from strataq.llm import decontaminate, exact_dedup, mixing, quality, url_filter, warc
 
 
 def _read(spark, d, name):
@@ -16,6 +16,23 @@ def op1_mixing(spark, d):
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
 
 
+def op2_warc(spark, d):
+    manifest = warc.write_archives(_read(spark, d, "pages"))
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def fold(doc_id="doc_id"):
+    """The held-out fold of a document: rows of fold 1 are never learnt from."""
+    return F.crc32(F.col(doc_id).cast("string")) % 3
+
+
+def op3_quality(spark, d):
+    docs = _read(spark, d, "documents")
+    model = quality.fit(docs, _read(spark, d, "labels"), train_where=fold() != 1)
+    out = quality.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", F.coalesce(fold() == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_exact_dedup(spark, d):
     out = exact_dedup.exact_dedup(_read(spark, d, "documents"), keep="largest")
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -32,6 +49,8 @@ def op8_decontaminate(spark, d):
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_warc": op2_warc,
+    "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op8_decontaminate": op8_decontaminate,
