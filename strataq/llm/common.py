@@ -63,21 +63,43 @@ def word_spans(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[0::2], edge[1::2]
 
 
-def word_hashes(b: np.ndarray, lower: bool) -> np.ndarray:
-    """A 64-bit hash for each word of ``b``; with ``lower``, A-Z count as a-z."""
+def words_of(texts: list[np.ndarray], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of several texts as bytes: a 64-bit hash for each word, and the number of words in each text. With
+    ``lower``, A-Z count as a-z."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    gap = np.full(1, 0x20, np.uint8)
+    b = np.concatenate([x for t in texts for x in (t, gap)]) if texts else np.zeros(0, np.uint8)
     s, e = word_spans(b)
+    counts = np.diff(np.searchsorted(s, np.concatenate(([0], np.cumsum(sizes + 1)))))
     if not len(s):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), counts
     n = e - s
     at = np.concatenate(([0], np.cumsum(n)[:-1]))
     inside = np.arange(n.sum()) - np.repeat(at, n)
     v = b[inside + np.repeat(s, n)]
     v = (_LOWER[v] if lower else v).astype(np.uint64) + np.uint64(1)
-    # positions beyond 64 turn the multiplier, so that long words with swapped parts differ
     h = v * _MULT[inside & 63]
-    if n.max() > 64:
+    if n.max() > 64:  # beyond 64 bytes the multiplier turns, so that long words with swapped parts differ
         h = h * (np.uint64(2) * (inside >> 6).astype(np.uint64) + np.uint64(1))
-    return mix64(np.add.reduceat(h, at) + n.astype(np.uint64))
+    return mix64(np.add.reduceat(h, at) + n.astype(np.uint64)), counts
+
+
+def word_hashes(b: np.ndarray, lower: bool) -> np.ndarray:
+    return words_of([b], lower)[0]
+
+
+def chunks(columns, most: int = 1 << 19):
+    """The texts of Arrow string columns in lists of about ``most`` bytes."""
+    for column in columns:
+        held, size = [], 0
+        for b in batch_bytes(column):
+            held.append(b)
+            size += len(b)
+            if size >= most:
+                yield held
+                held, size = [], 0
+        if held:
+            yield held
 
 
 def text_bytes(value) -> np.ndarray:
@@ -99,3 +121,41 @@ def batch_bytes(column):
     null = column.is_null().to_numpy(zero_copy_only=False)
     for k in range(len(column)):
         yield data[0:0] if null[k] else data[off[k]: off[k + 1]]
+
+
+#: Bits of a filter of identifiers: 256 rows of 4 KB, whatever the input.
+ID_BITS = 1 << 23
+
+
+def only_maybe(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose identifier may be in ``ids`` (column id): a bit filter of fixed size is
+    broadcast, so most other rows go before any shuffle. The join that follows decides."""
+    from pyspark.sql import functions as F
+
+    bits = ids.select(F.pmod(F.xxhash64("id"), F.lit(ID_BITS)).alias("b")).groupBy(F.expr("b div 32768").alias("__part")).agg(F.expr("bitmap_construct_agg(b % 32768)").alias("__bits"))
+    bits = stash(df.sparkSession, bits, "filter")
+    out = df.withColumn("__b", F.pmod(F.xxhash64(F.col(id_col)), F.lit(ID_BITS))).join(F.broadcast(bits), F.expr("__b div 32768") == F.col("__part"))
+    out = out.where(F.expr("(cast(conv(hex(substring(__bits, cast((__b % 32768) div 8 + 1 as int), 1)), 16, 10) as int) & shiftleft(1, cast(__b % 8 as int))) != 0"))
+    return out.drop("__b", "__part", "__bits")
+
+
+def components(spark: SparkSession, links: DataFrame) -> DataFrame:
+    """node, component (the smallest node reachable) of the graph of ``links`` (a, b). Each round every node
+    is contracted into the neighbour, or itself, that comes first in a random order; long chains too shrink by
+    a fraction a round. Every round is a written table."""
+    from pyspark.sql import functions as F
+
+    edges = stash(spark, links.where("a != b").select("a", "b").distinct(), "edges")
+    found = None
+    while not edges.isEmpty():
+        both = edges.union(edges.select("b", "a"))
+        key = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
+        to = both.groupBy("a").agg(F.min(key("b")).alias("m")).select(F.col("a").alias("node"), F.least("m", key("a"))["v"].alias("to"))
+        to = stash(spark, to, "hooks")
+        found = to if found is None else stash(spark, found.join(to.select(F.col("node").alias("to"), F.col("to").alias("next")), "to", "left").select("node", F.coalesce("next", "to").alias("to")), "labels")
+        one = edges.join(to.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(to.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
+        edges = stash(spark, one.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+    if found is None:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+    small = found.groupBy("to").agg(F.min("node").alias("component"))
+    return stash(spark, found.join(small, "to").select("node", "component"), "components")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import batch_bytes, mix64, word_hashes, word_spans
+from strataq.llm.common import chunks, mix64, word_spans, words_of
 
 #: Hashed words, and the length of their vectors.
 WORDS, DIM, NONZERO = 1 << 14, 32, 4
@@ -40,47 +40,31 @@ def _index_vectors(seed: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, DIM, (NONZERO, n)), rng.choice(np.array([-1.0, 1.0], np.float32), (NONZERO, n))
 
 
-def _tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of several texts: hashed words, hashed endings, words in each text."""
-    words, ends, counts = [], [], []
-    for b in texts:
-        h = word_hashes(b, lower=False)
-        counts.append(len(h))
-        if not len(h):
-            continue
-        s, e = word_spans(b)
-        n = e - s
-        x = b[e - 1].astype(np.uint64)
-        for k in (2, 3):
-            x = x * np.uint64(257) + np.where(n >= k, b[np.maximum(e - k, 0)], 0).astype(np.uint64)
-        words.append((h % np.uint64(WORDS)).astype(np.int64))
-        ends.append((mix64(x) % np.uint64(WORDS)).astype(np.int64))
-    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    return join(words), join(ends), np.array(counts, np.int64)
-
-
-def _chunks(batches, column: int = 0, most: int = 8 << 20):
-    """Texts in lists of a bounded number of bytes."""
-    for batch in batches:
-        held, size = [], 0
-        for b in batch_bytes(batch.column(column)):
-            held.append(b)
-            size += len(b)
-            if size >= most:
-                yield held
-                held, size = [], 0
-        if held:
-            yield held
+def _tokens(texts) -> tuple[np.ndarray, np.ndarray]:
+    """Of several texts: hashed words, and words in each text."""
+    h, counts = words_of(texts, lower=False)
+    return (h % np.uint64(WORDS)).astype(np.int64), counts
+
+
+def _endings(texts) -> np.ndarray:
+    """The hashed last three bytes of every word."""
+    b = np.frombuffer(b" ".join(t.tobytes() for t in texts), np.uint8)
+    s, e = word_spans(b)
+    x = b[e - 1].astype(np.uint64)
+    for k in (2, 3):
+        x = x * np.uint64(257) + np.where(e - s >= k, b[np.maximum(e - k, 0)], 0).astype(np.uint64)
+    return (mix64(x) % np.uint64(WORDS)).astype(np.int64)
 
 
 def _gather(seed: int):
     def run(batches):
         (at, sign), (at2, sign2) = _index_vectors(seed, WORDS), _index_vectors(seed + 1, WORDS)
         total, seen = np.zeros(WORDS * DIM), np.zeros(WORDS)
-        for texts in _chunks(batches):
-            w, e, counts = _tokens(texts)
+        for texts in chunks((b.column(0) for b in batches), 8 << 20):
+            w, counts = _tokens(texts)
             if not len(w):
                 continue
+            e = _endings(texts)
             doc = np.repeat(np.arange(len(counts)), counts)
             seen += np.bincount(w, minlength=WORDS)
             for k in range(NONZERO):
@@ -128,7 +112,7 @@ def pool(texts, vectors: np.ndarray) -> np.ndarray:
     """Of each text's word vectors: mean, standard deviation, and root mean square of the steps from word to
     word, which are small where words repeat; a text of one word has steps of the usual size. Last the weight
     of the text's own evidence, which draws short texts to the average one."""
-    w, _, counts = _tokens(texts)
+    w, counts = _tokens(texts)
     out = np.zeros((len(counts), POOLED), np.float32)
     some = np.flatnonzero(counts)
     if len(some):
@@ -216,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches):
         for batch in batches:
-            parts = [pool(texts, held.value) for texts in _chunks([batch])]
+            parts = [pool(texts, held.value) for texts in chunks([batch.column(0)])]
             if parts:
                 x = np.concatenate(parts)
                 yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "y", "x"])
@@ -233,7 +217,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", out_col:
 
     def run(batches):
         for batch in batches:
-            got = [held.value.score(pool(texts, held.value.vectors)) for texts in _chunks([batch], at)]
+            got = [held.value.score(pool(texts, held.value.vectors)) for texts in chunks([batch.column(at)])]
             column = pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], names=[*batch.schema.names, out_col])
 

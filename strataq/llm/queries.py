@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataq.llm import decontaminate, exact_dedup, mixing, quality, url_filter, warc
+from strataq.llm import decontaminate, exact_dedup, jaccard, mixing, quality, url_filter, warc
 
 
 def _read(spark, d, name):
@@ -47,6 +47,11 @@ def op8_decontaminate(spark, d):
     return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", "matched")
 
 
+def op10_jaccard(spark, d):
+    out = jaccard.jaccard_components(_read(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_warc": op2_warc,
@@ -54,6 +59,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op6_url_filter": op6_url_filter,
     "op8_decontaminate": op8_decontaminate,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLE = {
