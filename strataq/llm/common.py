@@ -123,7 +123,7 @@ def batch_bytes(column):
         yield data[0:0] if null[k] else data[off[k]: off[k + 1]]
 
 
-#: Bits of a filter of identifiers: 256 rows of 4 KB, whatever the input.
+#: Bits of a filter of identifiers: at most 131,072 rows of two numbers, whatever the input.
 ID_BITS = 1 << 23
 
 
@@ -132,11 +132,11 @@ def only_maybe(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     broadcast, so most other rows go before any shuffle. The join that follows decides."""
     from pyspark.sql import functions as F
 
-    bits = ids.select(F.pmod(F.xxhash64("id"), F.lit(ID_BITS)).alias("b")).groupBy(F.expr("b div 32768").alias("__part")).agg(F.expr("bitmap_construct_agg(b % 32768)").alias("__bits"))
-    bits = stash(df.sparkSession, bits, "filter")
-    out = df.withColumn("__b", F.pmod(F.xxhash64(F.col(id_col)), F.lit(ID_BITS))).join(F.broadcast(bits), F.expr("__b div 32768") == F.col("__part"))
-    out = out.where(F.expr("(cast(conv(hex(substring(__bits, cast((__b % 32768) div 8 + 1 as int), 1)), 16, 10) as int) & shiftleft(1, cast(__b % 8 as int))) != 0"))
-    return out.drop("__b", "__part", "__bits")
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BITS))
+    words = ids.select(bit("id").alias("b")).groupBy(F.expr("b div 64").alias("__w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("__v"))
+    words = stash(df.sparkSession, words, "filter")
+    out = df.withColumn("__b", bit(F.col(id_col))).join(F.broadcast(words), F.expr("__b div 64") == F.col("__w"))
+    return out.where(F.expr("bit_get(__v, cast(__b % 64 as int)) = 1")).drop("__b", "__w", "__v")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
