@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataq.llm import decontaminate, exact_dedup, jaccard, mixing, quality, url_filter, warc
+from strataq.llm import decontaminate, exact_dedup, jaccard, masked_lm, mixing, quality, surrogates, url_filter, warc
 
 
 def _read(spark, d, name):
@@ -38,10 +38,20 @@ def op4_exact_dedup(spark, d):
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_masked_lm(spark, d):
+    docs = _read(spark, d, "documents")
+    return masked_lm.score(docs, masked_lm.fit(docs)).withColumnRenamed("id", "doc_id")
+
+
 def op6_url_filter(spark, d):
     return url_filter.judge_urls(_read(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_surrogates(spark, d):
+    out = surrogates.pseudonymise(_read(spark, d, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_entities", "text")
+
+
 def op8_decontaminate(spark, d):
     out = decontaminate.decontaminate(_read(spark, d, "documents"), _read(spark, d, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "score", "matched")
@@ -57,8 +67,10 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_quality": op3_quality,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_masked_lm": op5_masked_lm,
     "op6_url_filter": op6_url_filter,
     "op8_decontaminate": op8_decontaminate,
+    "op9_surrogates": op9_surrogates,
     "op10_jaccard": op10_jaccard,
 }
 
