@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from strataq.llm import decontaminate, exact_dedup, jaccard, masked_lm, mixing, quality, surrogates, url_filter, warc
+from strataq.llm import decontaminate, exact_dedup, jaccard, masked_lm, mixing, quality, repeats, surrogates, url_filter, warc
 
 
 def _read(spark, d, name):
@@ -47,6 +47,10 @@ def op6_url_filter(spark, d):
     return url_filter.judge_urls(_read(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_repeats(spark, d):
+    return repeats.remove_repeats(_read(spark, d, "documents"), keep="none", with_text=False).withColumnRenamed("id", "doc_id")
+
+
 def op9_surrogates(spark, d):
     out = surrogates.pseudonymise(_read(spark, d, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_entities", "text")
@@ -69,6 +73,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_masked_lm": op5_masked_lm,
     "op6_url_filter": op6_url_filter,
+    "op7_repeats": op7_repeats,
     "op8_decontaminate": op8_decontaminate,
     "op9_surrogates": op9_surrogates,
     "op10_jaccard": op10_jaccard,
