@@ -147,7 +147,6 @@ def _sort_groups(length: int):
             base = np.concatenate(([0], np.cumsum([len(r[5]) for r in rows])[:-1]))
             off, n = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
             rank = np.array([r[4] for r in rows], np.int64)
-            other, earlier = [np.zeros(x, bool) for x in n], [np.zeros(x, bool) for x in n]
             if n.sum() <= 2 * SORTED:
                 which = np.repeat(np.arange(len(rows)), n)
                 s = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
@@ -165,7 +164,6 @@ def _sort_groups(length: int):
                 if len(s):
                     o, e = match_windows(buffer, base[which] + s, rank[which], length)
                     flat_o[at[which] + s], flat_e[at[which] + s] = o, e
-            del other, earlier
             out = [(r[0], r[1], _spans(flat_o[at[k]: at[k + 1]]), _spans(flat_e[at[k]: at[k + 1]])) for k, r in enumerate(rows) if flat_o[at[k]: at[k + 1]].any()]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)],
@@ -237,14 +235,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("k", F.xxhash64("text")).select("id", "k", "text")
     runs = stash(spark, docs.mapInArrow(_emit_runs(length), "id long, k long, p long, n int, off int, anchor long, ctx long"), "runs")
+    # runs whose anchor occurs once match nothing
+    twice = stash(spark, runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("anchor").alias("id")), "anchors")
+    runs = stash(spark, only_maybe(runs, "anchor", twice).join(twice.withColumnRenamed("id", "anchor"), "anchor", "left_semi"), "repeated")
     # the first run of each context stands for it; its rank orders contexts by identifier and position
     order = F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("o"), "p", "k", "id", "n", "off")
     contexts = stash(spark, runs.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(order).alias("f")), "contexts")
     several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
     open_ = stash(spark, contexts.join(several, "anchor").select("anchor", "ctx", "contexts", "f.*"), "open")
     # texts of a representative run: one list for each text, no longer than the text's own runs
-    rank = F.col("o") if keep == "none" else None
-    picks = open_.withColumn("rank", rank) if rank is not None else open_.withColumn("rank", F.row_number().over(Window.partitionBy("anchor").orderBy("o", "p", "k")).cast("long"))
+    rank = F.col("o") if keep == "none" else F.row_number().over(Window.partitionBy("anchor").orderBy("o", "p", "k")).cast("long")
+    picks = open_.withColumn("rank", rank)
     picks = picks.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "ctx", "p", "n", "off", "rank", "contexts")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
     picks = stash(spark, picks, "picks")
     texts = only_maybe(docs, "k", picks.select(F.col("k2").alias("id"))).dropDuplicates(["id", "k"])
@@ -266,7 +267,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         spans = F.when(F.col("c") > 1, every).otherwise(F.col("other"))
     else:
         spans = F.when(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("o"), "p", "k") == F.col("f"), F.coalesce("earlier", F.array().cast("array<int>"))).otherwise(every)
-    marked = runs.join(state.withColumnRenamed("p", "fp") if "p" in state.columns else state, ["anchor", "ctx"]).select("id", "k", "p", spans.alias("spans")).where("size(spans) > 0")
+    marked = runs.join(state, ["anchor", "ctx"]).select("id", "k", "p", spans.alias("spans")).where("size(spans) > 0")
     marked = marked.groupBy("id", "k").agg(F.collect_list(F.struct("p", "spans")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
     marked = stash(spark, marked, "marked")
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
