@@ -58,7 +58,7 @@ def runs_of(texts: list[np.ndarray], length: int):
         return None
     if len(b) >= 1 << POSITION_BITS:
         raise ValueError("a text is longer than 256 MB")
-    up, down = _powers(1 << max(20, int(len(b)).bit_length()))
+    up, down = _powers(1 << max(19, int(len(b)).bit_length()))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)])))
     grams = mix64((sums[GRAM:] - sums[:-GRAM]) * down[: len(b) - GRAM + 1])
     low = np.uint64((1 << POSITION_BITS) - 1)
@@ -86,7 +86,7 @@ def _emit_runs(length: int):
     def run(batches):
         for batch in batches:
             ids, keys, base = batch.column(0), batch.column(1), 0
-            for texts in chunks([batch.column(2)], 1 << 20):
+            for texts in chunks([batch.column(2)], 1 << 18):
                 if (r := runs_of(texts, length)) is not None:
                     own, p, n, off, anchor, ctx = r
                     take = pa.array(own + base)
@@ -171,6 +171,8 @@ def _sort_groups(length: int):
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and row[:2] == group[-1][:2] and row[0] == key:
+                    continue  # the same run of a repeated row
                 if row[0] != key:
                     held += group
                     windows += group_windows
@@ -248,16 +250,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     picks = open_.withColumn("rank", rank)
     picks = picks.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "ctx", "p", "n", "off", "rank", "contexts")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
     picks = stash(spark, picks, "picks")
-    texts = only_maybe(docs, "k", picks.select(F.col("k2").alias("id"))).dropDuplicates(["id", "k"])
+    texts = only_maybe(docs, "k", picks.select(F.col("k2").alias("id")))
     same = lambda a, b: F.col("id").eqNullSafe(F.col(a)) & (F.col("k") == F.col(b))
     cut = texts.join(picks, same("i2", "k2")).select("text", "picks")
     schema = "anchor long, ctx long, off int, n int, rank long, bytes binary"
     small = cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] <= most)).mapInArrow(_cut(length), schema)
-    found = small.repartition("anchor").sortWithinPartitions("anchor", "rank").mapInArrow(_sort_groups(length), _FOUND)
+    found = small.repartition("anchor").sortWithinPartitions("anchor", "rank", "ctx").mapInArrow(_sort_groups(length), _FOUND)
     found = stash(spark, found, "found")
     if not several.where(F.col("contexts") > most).isEmpty():
         large = cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] > most)).mapInArrow(_cut(length), schema)
-        each = stash(spark, large.mapInArrow(_each_window(length), "anchor long, ctx long, rank long, s int, w binary"), "windows")
+        each = stash(spark, large.mapInArrow(_each_window(length), "anchor long, ctx long, rank long, s int, w binary").dropDuplicates(["anchor", "ctx", "s"]), "windows")
         by = each.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.min("rank").alias("least")).where("c > 1")
         hit = each.join(by, "w").groupBy("anchor", "ctx").agg(_merge_starts("other", F.lit(True)), _merge_starts("earlier", F.col("rank") > F.col("least")))
         found = found.unionByName(stash(spark, hit, "found"))
