@@ -7,7 +7,7 @@ scored, 1 for an equal word and -2 for another; an overlap counts from a best st
 
 A bit table of fixed size holds the benchmark's seeds, and lets a document emit only positions that may
 hit; when the benchmark outgrows it, more positions are emitted, and the join still decides. Benchmarks
-of up to ``inline_seeds`` seeds are broadcast; larger ones are joined by a shuffle.
+of up to ``inline_seeds`` seeds, whose words take up to 64 MB (``INLINE_WORDS``), are broadcast; larger ones are joined by a shuffle.
 
 Nulls: null and empty texts have no words and no hits; rows with a null identifier are judged and returned
 as such. Texts of fewer than eleven words have no seeds and never hit. Repeated rows hit alike and give
@@ -24,6 +24,8 @@ MASKS = ((0, 1, 3, 4, 6, 9, 10), (0, 2, 3, 5, 7, 8, 10))
 SPAN = 11
 #: Bits of the seed table, in words of 64.
 TABLE_BITS = 1 << 22
+#: Words of 8 bytes that the seeds of a broadcast benchmark hold in all.
+INLINE_WORDS = 8 << 20
 #: Words looked at on each side of a hit.
 REACH = 64
 
@@ -61,8 +63,8 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     stretch of the item)."""
     seeds = benchmark_seeds(bench, item_col, item_text_col)
     table = seed_table(seeds)
-    small = seeds.count() <= inline_seeds  # each holds the codes of an item, so the bound is on rows and read below
-    small = small and (bench.agg(F.max(F.length(item_text_col))).first()[0] or 0) <= 20_000
+    n, held = seeds.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()
+    small = n <= inline_seeds and held <= INLINE_WORDS  # every seed holds its item's words
     last = f"size(h) - {SPAN}"
     found = " , ".join(f"filter(transform(sequence(0, {last}), i -> struct(i as i, {_seed('h', 'i', m)} as seed)), "
                        f"x -> bit_get(from_json('{table}', 'array<bigint>')[cast(pmod(x.seed, {TABLE_BITS}L) div 64 as int)], cast(pmod(x.seed, 64L) as int)) = 1)" for m in range(len(MASKS)))
