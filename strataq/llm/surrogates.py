@@ -4,15 +4,20 @@ A surrogate is a keyed permutation of the entity's symbols: digits stay digits,
 script, vowel for vowel and consonant for consonant, hexadecimal digits and address bytes stay such, and
 punctuation and case stay in place. Since each format's map is one-to-one, different entities never share a
 surrogate, and one entity has the same surrogate in every document, however it is spaced or capitalised.
+The maps have no fixed point, so no entity with a known symbol stands for itself.
 Card numbers keep their check digit's offset, so valid ones stay valid. Given names of the lists are
 turned into other names of the same gender and script; other names are permuted by letters, again
-until the result is in no list. ``collisions`` verifies distinctness over a whole table.
+until the result is in no list, and Cyrillic surnames keep the ending that shows the gender. A surname has one
+surrogate after every title and given name.
+
+Collisions are checked for each entity where it is replaced: the surrogate is turned back with the key and must give the
+entity, which no two entities of one surrogate can. ``collisions`` verifies the same over a whole table by comparison.
 
 Nothing is shuffled: the map needs the key alone.
 
 Nulls: null and empty texts stay so, with no entities. Texts are read whole. Repeated rows get the same
-result. Empty tables give empty results. Extra columns are ignored. A part of one symbol (such as an octet)
-may map to itself; a whole entity that would is turned once more.
+result. Empty tables give empty results. Extra columns are ignored. Characters of other alphabets than those
+listed stay, and an octet of an address may stay while the address changes.
 """
 
 from __future__ import annotations
@@ -41,11 +46,11 @@ PATTERN = re.compile(
     r"(?P<email>[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
     r"|(?P<secret>\b(?:password|passwd|pwd|secret|token|api_key)\s*[=:]\s*[\"']?)(?P<value>[^\s\"']{6,})"
-    r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d))"
-    r"|(?P<phone>(?<![\w+])(?P<cc>\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[ .-]\d{3}[ .-]\d{4})(?!\d))"
-    r"|(?P<intl>(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d))"
-    r"|(?P<ssn>(?<!\d)\d{3}-\d{2}-\d{4}(?!\d))"
-    r"|(?P<card>(?<![\d.])(?:\d[ -]?){12,18}\d(?![\d]))"
+    r"|(?P<ip>(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9]))"
+    r"|(?P<phone>(?<![\w+])(?P<cc>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
+    r"|(?P<intl>(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9]))"
+    r"|(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))"
+    r"|(?P<card>(?<![0-9.])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"
     rf"|\b(?P<title>(?:{TITLES['m']}|{TITLES['f']})\.? )(?P<name>{_WORD}(?: {_WORD})?)"
     rf"|\b(?P<given>{_GIVEN}) (?P<surname>{_WORD})")
 
@@ -55,6 +60,8 @@ _HINT = re.compile(rf"[@\d]|password|passwd|pwd|secret|token|api_key|{TITLES['m'
 _ALPHABETS = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "àáâãäåèéêëìíîïòóôõöùúûü", "çñ"]
 _PLACE = {c: (a, k) for a in _ALPHABETS for k, c in enumerate(a)}
 _HEX = "0123456789abcdef"
+# Endings of surnames that show a gender.
+_ENDING = re.compile(r"(?<=..)(?:ова|ева|ина|ов|ев|ин|ий|ая)$")
 
 
 def _noise(key: bytes, tweak: str, rnd: int, values, n: int) -> list[int]:
@@ -64,44 +71,50 @@ def _noise(key: bytes, tweak: str, rnd: int, values, n: int) -> list[int]:
     return [int.from_bytes(h[4 * k: 4 * k + 4], "big") for k in range(n)]
 
 
-def permute(values: list[int], sizes: list[int], key: bytes, tweak: str) -> list[int]:
+def _mix(values: list[int], sizes: list[int], key: bytes, tweak: str, back: bool = False) -> list[int]:
     """A keyed one-to-one map of digits in mixed bases: each half is shifted by noise from the other, six times."""
-    m, v = len(values) // 2, list(values)
-    for rnd in range(6):
+    m, v, sign = len(values) // 2, list(values), -1 if back else 1
+    for rnd in range(5, -1, -1) if back else range(6):
         a, b = (range(m), slice(m, None)) if rnd % 2 else (range(m, len(v)), slice(0, m))
         for k, x in zip(a, _noise(key, tweak, rnd, v[b], len(a)), strict=True):
-            v[k] = (v[k] + x) % sizes[k]
+            v[k] = (v[k] + sign * x) % sizes[k]
     return v
 
 
-def _symbols(text: str, key: bytes, tweak: str, hexa: bool = False) -> str:
+def permute(values: list[int], sizes: list[int], key: bytes, tweak: str, back: bool = False) -> list[int]:
+    """A keyed one-to-one map without fixed points, or its inverse: between two passes of ``_mix``, there and back, a
+    keyed number other than 0 is added."""
+    v, carry = _mix(values, sizes, key, tweak), 0
+    for k, x in enumerate(_noise(key, tweak, -1, [], len(v))):
+        x = x % sizes[k] if k else 1 + x % (sizes[k] - 1)
+        carry, v[k] = divmod(v[k] + carry + (-x if back else x), sizes[k])
+    return _mix(v, sizes, key, tweak, back=True)
+
+
+def _symbols(text: str, key: bytes, tweak: str, hexa: bool = False, back: bool = False) -> str:
     """Permute the symbols of known alphabets; case and all other characters stay."""
     at, alphabets, values = [], [], []
     for k, c in enumerate(text):
         a, x = (_HEX, _HEX.index(c)) if hexa and c in _HEX else _PLACE.get(c.lower(), (None, 0))
-        if a:
+        if a and c in (a[x], a[x].upper()):  # signs such as the Kelvin's have a letter's lower case
             at.append(k)
             alphabets.append(a)
             values.append(x)
     out = list(text)
-    for k, a, x in zip(at, alphabets, permute(values, [len(a) for a in alphabets], key, f"{tweak}/{','.join(str(len(a)) for a in alphabets)}"), strict=True):
+    for k, a, x in zip(at, alphabets, permute(values, [len(a) for a in alphabets], key, f"{tweak}/{','.join(str(len(a)) for a in alphabets)}", back), strict=True):
         out[k] = a[x].upper() if text[k].isupper() else a[x]
     return "".join(out)
 
 
-def _digits(text: str, key: bytes, tweak: str) -> str:
-    return _symbols(text, key, tweak)
-
-
 def _luhn(digits: list[int]) -> int:
     """The check digit that the digits before it ask for."""
     return -sum(sum(divmod(d * (2 if k % 2 == 0 else 1), 10)) for k, d in enumerate(reversed(digits))) % 10
 
 
-def _card(text: str, key: bytes) -> str:
+def _card(text: str, key: bytes, back: bool) -> str:
     at = [k for k, c in enumerate(text) if c.isdigit()]
     d = [int(text[k]) for k in at]
-    new = permute(d[:-1], [10] * (len(d) - 1), key, f"card{len(d)}")
+    new = permute(d[:-1], [10] * (len(d) - 1), key, f"card{len(d)}", back)
     new.append((_luhn(new) + d[-1] - _luhn(d[:-1])) % 10)
     out = list(text)
     for k, x in zip(at, new, strict=True):
@@ -109,64 +122,76 @@ def _card(text: str, key: bytes) -> str:
     return "".join(out)
 
 
-def _name(word: str, gender: str | None, key: bytes, part: str) -> str:
+def _name(word: str, key: bytes, back: bool) -> str:
     """A listed name turns into another of its list; others are permuted until they are in no list."""
     if word in _LISTED:
         (kind, k), names = _LISTED[word], NAMES[_LISTED[word][0]]
         order = sorted(range(len(names)), key=lambda j: hashlib.blake2b(f"{kind}/{names[j]}".encode(), key=key).digest())
-        return names[order[(order.index(k) + 1) % len(order)]]  # a cycle over the whole list: one-to-one, never itself
-    out = _symbols(word, key, f"name/{part}/{gender}")
-    while out in _LISTED:
-        out = _symbols(out, key, f"name/{part}/{gender}")
+        return names[order[(order.index(k) + (-1 if back else 1)) % len(order)]]  # a cycle over the whole list: one-to-one, never itself
+    end = m.start() if (m := _ENDING.search(word)) else len(word)
+    out = word
+    while out == word or out in _LISTED:
+        now = _symbols(out[:end], key, "name", back=back) + out[end:]
+        if now in (out, word):  # no known symbol, or all others are listed
+            return word
+        out = now
     return out
 
 
+def _is_hex(text: str) -> bool:
+    return all(c in _HEX for c in text) and not text.isdigit() and not text.isalpha()
+
+
+def _value(text: str, key: bytes, back: bool) -> str:
+    """Strings of hexadecimal digits stay such, and no others become such."""
+    hexa, out = _is_hex(text), text
+    while True:
+        out = _symbols(out, key, f"value{hexa}", hexa, back)
+        if _is_hex(out) == hexa:
+            return out
+
+
+def _turned(kind: str, text: str, key: bytes, back: bool) -> str:
+    """The surrogate of one entity, or the entity of a surrogate."""
+    if kind == "email":
+        rest, _, top = text.rpartition(".")
+        return _symbols(rest, key, "email", back=back) + "." + top
+    if kind == "ip":
+        return ".".join(map(str, permute([int(x) for x in text.split(".")], [256] * 4, key, "ip", back)))
+    if kind == "card":
+        return _card(text, key, back)
+    if kind == "name":
+        return _name(text, key, back)
+    if kind == "key":
+        return text[:4] + _symbols(text[4:], key, "key", back=back)
+    if kind == "value":
+        return _value(text, key, back)
+    if kind in ("phone", "intl"):
+        code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
+        code = code[0] if code else ""
+        return code + _symbols(text[len(code):], key, "phone" + code, back=back)
+    return _symbols(text, key, kind, back=back)
+
+
 @functools.lru_cache(200_000)
 def surrogate(kind: str, text: str, key: bytes) -> str:
-    """The surrogate of one entity."""
-    for turn in ("", "again"):
-        if kind == "email":
-            local, _, domain = text.rpartition("@")
-            host, _, top = domain.rpartition(".")
-            out = _symbols(f"{local}@{host}", key, "email" + turn) + "." + top
-        elif kind == "ip":
-            out = ".".join(map(str, permute([int(x) for x in text.split(".")], [256] * 4, key, "ip" + turn)))
-        elif kind == "card":
-            out = _card(text, key + turn.encode())
-        elif kind == "key":
-            out = text[:4] + _symbols(text[4:], key, "key" + turn)
-        elif kind == "value":
-            hexa = all(c in _HEX for c in text)
-            out = _symbols(text, key, f"value{hexa}{turn}", hexa)
-        elif kind in ("phone", "intl"):
-            code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-            code = code[0] if code else ""
-            out = code + _digits(text[len(code):], key, "phone" + code + turn)
-        else:
-            out = _digits(text, key, kind + turn)
-        if out != text:
-            break
+    """The surrogate of one entity (of one word, for names), checked to stand for this entity alone."""
+    out = _turned(kind, text, key, False)
+    if _turned(kind, out, key, True) != text:
+        raise ValueError(f"the surrogate of this {kind} also stands for another")
     return out
 
 
-def _gender(title: str) -> str:
-    return "m" if re.match(TITLES["m"] + r"\b", title) and not re.match("Señora|Mrs", title) else "f"
-
-
 def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str, int]]]:
     """The text with surrogates, and (type, entity, surrogate, start in the input) of each."""
     if not _HINT.search(text):
         return text, []
     out, found, end = [], [], 0
     for m in PATTERN.finditer(text):
-        kind = m.lastgroup
         if m["email"] is None and m["title"]:
-            g = _gender(m["title"])
-            words = m["name"].split(" ")
-            new = m["title"] + " ".join(_name(w, g, key, "given" if k == 0 and len(words) == 2 else "surname") for k, w in enumerate(words))
-            kind = "name"
+            new, kind = m["title"] + " ".join(surrogate("name", w, key) for w in m["name"].split(" ")), "name"
         elif m["given"]:
-            new, kind = _name(m["given"], None, key, "given") + " " + _name(m["surname"], None, key, "surname"), "name"
+            new, kind = surrogate("name", m["given"], key) + " " + surrogate("name", m["surname"], key), "name"
         elif m["secret"]:
             new, kind = m["secret"] + surrogate("value", m["value"], key), "secret"
         else:

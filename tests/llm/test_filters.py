@@ -19,7 +19,7 @@ def docs(spark, rows, schema="doc_id long, text string, source string, score dou
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
 
 
-def test_decontaminate(spark):
+def test_decontaminate(spark, monkeypatch):
     w = ITEM.split()
     swapped = " ".join("x" if k in (5, 12) else x for k, x in enumerate(w))
     far = " ".join("x" if k % 2 else x for k, x in enumerate(w))
@@ -28,6 +28,8 @@ def test_decontaminate(spark):
     for inline in (200_000, 0):
         got = decontaminate.decontaminate(docs(spark, rows), bench, inline_seeds=inline).collect()
         assert sorted((r.id or 0, r.item, r.matched) for r in got) == [(0, 10, 18), (1, 10, 18), (2, 10, 16), (7, 10, 18), (8, 10, 18)]
+    monkeypatch.setattr(decontaminate, "INLINE_WORDS", 100)
+    assert decontaminate.decontaminate(docs(spark, rows), bench).count() == 5
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), bench).collect()) == [3, 4, 5, 6]
     assert decontaminate.decontaminate(docs(spark, []), bench).count() == 0
     assert decontaminate.decontaminate(docs(spark, rows), bench.limit(0)).count() == 0
@@ -161,6 +163,30 @@ def test_surrogates(spark):
     assert surrogates.pseudonymise(docs(spark, [])).count() == 0
 
 
+def test_surrogates_keep_coreference_and_distinctness():
+    key = b"k"
+    one = {surrogates.replace(f"{before}Smith came.", key)[0].split()[-2] for before in ("Mr ", "Mrs ", "Ms. ", "Mr John ", "Mary ", "Dr John ")}
+    assert len(one) == 1 and "Smith" not in one
+    ivan = surrogates.replace("Господин Петров и Госпожа Петрова", key)[0].split()
+    assert ivan[1].endswith("ов") and ivan[-1].endswith("ова") and ivan[1] not in ("Петров", ivan[-1])
+    for kind, every in (("value", [f"{a}{b}{c}x1a" for a in "abz" for b in "e01" for c in "fgh"] + [f"{k:06x}" for k in range(0, 1 << 24, 40_009)]), ("ip", [f"1.2.{k}.{j}" for k in range(9) for j in range(9)]),
+                        ("name", [f"{a}{b}" for a in ("Li", "Lo", "Ka") for b in "aeioubcd"]), ("card", [f"{k:016d}" for k in range(300)]), ("ssn", ["123-45-6789", "000-00-0000"]),
+                        ("email", [f"{a}.{b}@x.org" for a in "abcdefgh" for b in "aeiou1"]), ("phone", ["+1 (017) 555-7713", "+2 (017) 555-7713"])):
+        got = [surrogates.surrogate(kind, x, key) for x in every]
+        assert len(set(got)) == len(every) and not any(a == b for a, b in zip(got, every, strict=True))
+        assert [surrogates._turned(kind, y, key, True) for y in got] == every
+        if kind == "value":
+            assert [surrogates._is_hex(x) for x in every] == [surrogates._is_hex(y) for y in got]
+    assert surrogates.surrogate("name", "\u212aarl", key)[0] == "\u212a"  # a Kelvin sign isn't a K
+    assert surrogates.surrogate("email", "_@_.org", key) == "_@_.org"
+
+
+def test_collision_check_raises(monkeypatch):
+    monkeypatch.setattr(surrogates, "_turned", lambda kind, text, key, back: "same")
+    with pytest.raises(ValueError):
+        surrogates.surrogate("ssn", "111-22-3333", b"another key")
+
+
 def test_permutation_is_one_to_one():
     sizes = [10, 6, 20]
     every = {tuple(surrogates.permute([a, b, c], sizes, b"k", "t")) for a in range(10) for b in range(6) for c in range(20)}
