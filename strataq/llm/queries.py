@@ -79,7 +79,15 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
 }
 
+#: Base32 of a SHA-1: five hexadecimal digits are four letters.
+_SHA1 = """array_to_string(list_transform(range(32), lambda k:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((CAST('0x' || substr(sha1(t), 5 * (k // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31) + 1, 1)), '')"""
+
 ORACLE = {
+    "op2_warc": f"""
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_SHA1} AS payload_digest,
+       CASE WHEN page_id = least_id OR least_id IS NULL THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id = least_id THEN NULL ELSE least_id END AS refers_to
+FROM (SELECT page_id, t, min(page_id) OVER (PARTITION BY t) AS least_id FROM (SELECT page_id, coalesce(html, '') AS t FROM pages) x) y""",
     "op4_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
        row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
