@@ -4,11 +4,15 @@ Every source has a target in words; a document is taken floor(r) times plus once
 fractional inclusion probability r - floor(r), where r is its source's target over its size. Flight
 phases move the vector of probabilities through the null space of the balancing constraints (number of
 documents, number of words), three open documents at a time, until at most two of a block are open; the
-open ones of all blocks fly again, level by level, until one block for each source is left. Only then
-does the landing phase give up the word constraint, then the document constraint.
+open ones of all blocks fly again, level by level, until one block for each source is left. In that block ten
+documents spread over its sizes wait until the others have flown; with the two that these leave open they are the
+landing problem: of their subsets whose number of documents is within one of the expected one, the landing draws among the few
+whose words come nearest to the expected words. So a source misses its target by few words, and only
+these twelve documents leave their inclusion probabilities.
 
 Blocks are chosen by hashing identifiers, and every draw comes from a seeded generator for its block, so
-reruns agree whatever the number of tasks. A block streams through a task that holds three documents.
+reruns agree whatever the number of tasks. A block streams through a task that holds three documents; the last
+block of a source, of about BLOCK rows without texts, is held whole.
 
 Nulls: a null text has size 0; a null source is a source of its own, after all others; null identifiers are
 hashed like any value. Repeated rows are documents of their own. A source without words has target 0 and
@@ -17,9 +21,11 @@ is not taken. Empty tables give empty results. Columns other than the three name
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,6 +35,13 @@ from strataq.llm.common import WORD, stash
 #: Documents in a block; about two of them stay open.
 BLOCK = 512
 EPS = 1e-9
+#: Documents that wait for the landing, and subsets that it draws among.
+WAITING, NEAREST = 10, 4
+
+
+@functools.cache
+def _subsets(n: int) -> np.ndarray:
+    return (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
 
 
 def words(text: Column) -> Column:
@@ -65,57 +78,68 @@ class _Flight:
     def add(self, p: float, size: float, row):
         """Returns the rows that this document's arrival decides, as (row, 0 or 1)."""
         self.open.append([p, size, row])
-        return self._settle(3)
-
-    def _settle(self, most: int):
         done = []
         while True:
             for u in [u for u in self.open if not EPS < u[0] < 1 - EPS]:
                 self.open.remove(u)
                 done.append((u[2], int(u[0] > 0.5)))
-            if len(self.open) < most:
+            if len(self.open) < 3:
                 return done
-            if most == 3:
-                (_, a, _), (_, b, _), (_, c, _) = self.open
-                d = (1.0, -1.0, 0.0) if a == b else (c - b, a - c, b - a)  # the null space of counts and words
-            else:
-                d = (1.0, -1.0)[:most]  # the null space of counts, or of no constraint
+            (_, a, _), (_, b, _), (_, c, _) = self.open
+            d = (1.0, -1.0, 0.0) if a == b else (c - b, a - c, b - a)  # the null space of counts and words
             up = min((1 - u[0]) / x if x > 0 else u[0] / -x for u, x in zip(self.open, d, strict=True) if x)
             down = min(u[0] / x if x > 0 else (1 - u[0]) / -x for u, x in zip(self.open, d, strict=True) if x)
             step = up if self.draw() * (up + down) < down else -down
             for u, x in zip(self.open, d, strict=True):
                 u[0] = min(1.0, max(0.0, u[0] + step * x))
 
-    def land(self):
-        return self._settle(2) + self._settle(1)
+    def land(self, waiting):
+        """Decide the open documents and those that waited (p, size, row)."""
+        every = [*self.open, *waiting]
+        if not every:
+            return []
+        p, size = np.array([u[0] for u in every]), np.array([u[1] for u in every])
+        sets = _subsets(len(every))
+        sets = sets[np.abs(sets.sum(1) - p.sum()) < 1 + EPS]
+        near = np.argsort(np.abs(sets @ size - p @ size), kind="stable")[:NEAREST]
+        taken = sets[near[int(self.draw() * len(near))]]
+        return [(u[2], int(x)) for u, x in zip(every, taken, strict=True)]
+
+
+def _whole_block(flight: _Flight, rows: list[dict]):
+    """Fly and land the last block of a source; its rows come by falling size."""
+    open_ = [k for k, r in enumerate(rows) if EPS < r["p"] < 1 - EPS]
+    n = min(WAITING, len(open_))
+    waits = {open_[(2 * k + 1) * len(open_) // (2 * n)] for k in range(n)}
+    done = [d for k, r in enumerate(rows) if k not in waits for d in flight.add(r["p"], float(r["size"]), r)]
+    return done + flight.land([(rows[k]["p"], float(rows[k]["size"]), rows[k]) for k in sorted(waits)])
 
 
 def _fly(level: int, seed: int, last: bool):
     def run(batches):
-        block, flight = None, None
-        for batch in batches:
-            rows, out = batch.to_pylist(), []
+        block, flight, held, schema = None, None, [], None
 
-            def close(flight=None):
-                if flight is None:
-                    return
-                out.extend({**r, "x": x, "p": float(x)} for r, x in (flight.land() if last else ()))
-                out.extend({**r, "p": p, "x": None} for p, _, r in flight.open)
+        def close():
+            if last:
+                return [{**r, "x": x, "p": float(x)} for r, x in _whole_block(flight, held)]
+            return [{**r, "p": p, "x": None} for p, _, r in flight.open]
 
-            for r in rows:
+        for batch in batches:
+            out, schema = [], batch.schema
+            for r in batch.to_pylist():
                 key = (r["source"], r["block"])
                 if key != block:
-                    close(flight)
-                    block, flight = key, _Flight(f"{seed}/{level}/{key!r}")
-                out.extend({**d, "x": x, "p": float(x)} for d, x in flight.add(r["p"], float(r["size"]), r))
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=batch.schema)
-            schema = batch.schema
-        if flight is not None:
-            out = []
-            close(flight)
+                    if flight is not None:
+                        out.extend(close())
+                    block, flight, held = key, _Flight(f"{seed}/{level}/{key!r}"), []
+                if last:
+                    held.append(r)
+                else:
+                    out.extend({**d, "x": x, "p": float(x)} for d, x in flight.add(r["p"], float(r["size"]), r))
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
+        if flight is not None and (out := close()):
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     return run
 
