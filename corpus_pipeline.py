@@ -42,7 +42,7 @@ STAGES = [
     ("mixing to target weights", source_mix),
 ]
 
-#: The classifier, the Jaccard join and the mix have no SQL; the tests hold run() against brute force.
+#: The classifier, the Jaccard join and the mix have no SQL; the tests hold each stage and run() against plain computations.
 ORACLE_SQL = None
 
 
