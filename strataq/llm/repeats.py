@@ -1,8 +1,8 @@
 """Repeated passages by suffix order and longest-previous-factor arrays.
 
-A window of ``length`` bytes is repeated if it starts elsewhere too. In suffix order, equal windows are neighbours
-with a common prefix of at least ``length``; a suffix has an earlier match of that length exactly if, walking over such
-neighbours, a previous or next smaller position is met. ``keep="first"`` removes windows with an earlier match, by
+A window of ``length`` bytes is repeated if it starts elsewhere too. Suffixes are put in order, and the longest previous
+factor of each is the longer of the prefixes that it shares with the previous and the next suffix of a smaller position; a window
+has an earlier match exactly if its factor reaches ``length``. ``keep="first"`` removes windows with an earlier match, by
 identifier and position; ``keep="none"`` removes all that match anything.
 
 Suffixes that can match are brought together by anchors: the least hash of a 32-byte gram within a window is chosen
@@ -111,18 +111,52 @@ def _cut(length: int):
     return run
 
 
+def _smaller(place: np.ndarray, lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each suffix in order, with the text positions ``place`` and the prefix ``lcp`` shared with the suffix before:
+    the previous one of a smaller position and the prefix shared with it; -1 and 0 where that is shorter than ``least``.
+    Pointers jump over suffixes of larger positions, all at once, until each rests on a smaller one."""
+    to, common = np.arange(-1, len(place) - 1), lcp.copy()
+    walk = np.flatnonzero(common >= least)
+    while len(walk := walk[place[to[walk]] > place[walk]]):
+        via = to[walk]
+        common[walk] = np.minimum(common[walk], common[via])
+        to[walk] = to[via]
+        walk = walk[common[walk] >= least]
+    far = common < least
+    to[far], common[far] = -1, 0
+    return to, common
+
+
+def longest_previous_factors(windows: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of suffixes in text order, each given by its first bytes: the longest prefix that an earlier suffix shares, and
+    that suffix (0 and -1 where it is shorter than ``least``). In suffix order the longest one is shared with the previous
+    or the next suffix of a smaller position."""
+    n, length = windows.shape
+    factor, source = np.zeros(n, np.int64), np.full(n, -1)
+    if n:
+        order = np.argsort(windows.view(f"S{length}")[:, 0], kind="stable")
+        w = windows[order]
+        differ = w[1:] != w[:-1]
+        lcp = np.concatenate(([0], np.where(differ.any(1), differ.argmax(1), length), [0]))
+        before, with_before = _smaller(order, lcp[:-1], least)
+        after, with_after = (x[::-1] for x in _smaller(order[::-1], lcp[:0:-1], least))
+        after = np.where(after < 0, -1, n - 1 - after)
+        best = np.where(with_before >= with_after, before, after)
+        factor[order] = np.maximum(with_before, with_after)
+        source[order] = np.where(best < 0, -1, order[best])
+    return factor, source
+
+
 def match_windows(buffer: np.ndarray, starts: np.ndarray, rank: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the suffixes at ``starts``: whether the first ``length`` bytes occur at another of them, and at one of
-    smaller rank. Suffixes are put in order, ties by rank; a run of neighbours whose common prefix reaches ``length`` is what the
-    walks to smaller positions stay within, and all but its least rank meet one."""
+    """Of the suffixes at ``starts``: whether the first ``length`` bytes occur at another of them, and at one before it
+    by rank, ties in the order given. The first of equal windows has no previous factor, but is one."""
     by_rank = np.argsort(rank, kind="stable")
-    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(buffer, length)[starts[by_rank]]).view(f"S{length}")[:, 0]
-    order = np.argsort(windows, kind="stable")
-    w = windows[order]
-    same = np.concatenate(([False], w[1:] == w[:-1]))  # LCP with the suffix before reaches the length
+    windows = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(buffer, length)[starts[by_rank]])
+    factor, source = longest_previous_factors(windows, length)
+    hit = factor >= length
     other, earlier = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    earlier[by_rank[order]] = same
-    other[by_rank[order]] = same | np.concatenate((same[1:], [False]))
+    earlier[by_rank] = hit
+    other[by_rank[hit]] = other[by_rank[source[hit]]] = True
     return other, earlier
 
 

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +134,20 @@ def passages():
     return rows + [(90, None), (91, ""), (92, "ab" * 300), (93, rows[0][1]), (94, "short")]
 
 
+def test_longest_previous_factors():
+    rng = np.random.default_rng(8)
+    for least in (1, 3, 6):
+        for n in (0, 1, 2, 40, 90):
+            w = rng.integers(97, 99, (n, 6)).astype(np.uint8)
+            factor, source = repeats.longest_previous_factors(w, least)
+            shared = lambda a, b: next((k for k in range(6) if a[k] != b[k]), 6)
+            for k in range(n):
+                best = max((shared(w[k], w[j]) for j in range(k)), default=0)
+                assert factor[k] == (best if best >= least else 0)
+                assert source[k] < k and (source[k] == -1) == (best < least)
+                assert source[k] == -1 or shared(w[k], w[source[k]]) == best
+
+
 @pytest.mark.parametrize("keep", ["none", "first"])
 @pytest.mark.parametrize("most", [8192, 2])
 def test_repeats(spark, keep, most):
