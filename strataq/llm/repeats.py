@@ -82,6 +82,13 @@ def runs_of(texts: list[np.ndarray], length: int):
     return own, first - (ends - sizes)[own], n, off, mix64(grams[anchor[first]]), ctx
 
 
+def _slices(batches, rows: int = 256):
+    """Batches of few rows, so that the Python objects made of a batch stay few, however long its lists are."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _emit_runs(length: int):
     def run(batches):
         for batch in batches:
@@ -100,7 +107,7 @@ def _emit_runs(length: int):
 def _cut(length: int):
     """The bytes of chosen runs of each text."""
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for b, picks in zip(batch_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 rows += [(r["anchor"], r["ctx"], r["off"], r["n"], r["rank"], b[r["p"]: r["p"] + r["n"] - 1 + length].tobytes()) for r in picks]
@@ -244,7 +251,7 @@ def _merge_starts(name: str, hit):
 
 def _remove(length: int, full_text: bool):
     def run(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             ids, out = batch.column(0), []
             for b, picks in zip(batch_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
                 mark = np.zeros(len(b) + 1, np.int32)
