@@ -4,7 +4,7 @@ Words are hashed to 64 classes of 64. The hidden layer is tanh of the sum of one
 neighbour and its place; from it come the word's class, and the word within its class, each on top of
 the log-frequencies of the whole corpus. A document's score is the sum of log p(word | neighbours).
 
-Training covers all documents: each task trains on its texts, one word in ``STRIDE`` as the word to predict,
+Training covers all documents: each task trains on its texts, every word in its turn as the word to predict,
 from the same start, and the results are averaged by words. What is gathered, a table of 1 MB for each task, grows with
 the corpus; it is summed in pieces, and the driver holds one sum.
 
@@ -23,7 +23,7 @@ from strataq.llm.common import chunks, words_of
 
 CLASSES = WITHIN = 64
 WORDS, HIDDEN, PLACES = CLASSES * WITHIN, 16, (-2, -1, 1, 2)
-STRIDE, BATCH, PIECES = 4, 512, 16
+BATCH, PIECES = 512, 16
 _SHAPES = ((len(PLACES), WORDS + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (HIDDEN, WITHIN))
 SIZE = sum(int(np.prod(s)) for s in _SHAPES)
 
@@ -55,6 +55,13 @@ def _lse(x: np.ndarray) -> np.ndarray:
     return np.log(np.exp(x - top[:, None]).sum(1)) + top
 
 
+def _softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(1)[:, None]
+    np.exp(x, out=x)
+    x /= x.sum(1)[:, None]
+    return x
+
+
 def log_probs(params, freq, line: np.ndarray, at: np.ndarray, block: int = 4096) -> np.ndarray:
     """log p of the words at places ``at``, given their neighbours."""
     table, bias, to_class, to_word = params
@@ -76,14 +83,14 @@ def log_probs(params, freq, line: np.ndarray, at: np.ndarray, block: int = 4096)
 def train(params, freq, line: np.ndarray, at: np.ndarray, squares, rate: float = 0.05) -> None:
     """One pass of Adagrad over the words at ``at``, in place."""
     by_class, by_word = freq
+    vectors, old = params[0].reshape(-1, HIDDEN), squares[0].reshape(-1, HIDDEN)
     for k in range(0, len(at), BATCH):
         i = at[k: k + BATCH]
-        ctx = [line[i + place] for place in PLACES]
-        hid = np.tanh(params[1] + sum(params[0][j][x] for j, x in enumerate(ctx)))
+        ctx = np.concatenate([line[i + place] + j * (WORDS + 1) for j, place in enumerate(PLACES)]).astype(np.uint16)
+        hid = np.tanh(params[1] + vectors[ctx].reshape(len(PLACES), len(i), HIDDEN).sum(0))
         c, w = line[i] // WITHIN, line[i] % WITHIN
         r = np.arange(len(i))
-        s1, s2 = hid @ params[2] + by_class, hid @ params[3] + by_word[c]
-        g1, g2 = np.exp(s1 - _lse(s1)[:, None]), np.exp(s2 - _lse(s2)[:, None])
+        g1, g2 = _softmax(hid @ params[2] + by_class), _softmax(hid @ params[3] + by_word[c])
         g1[r, c] -= 1
         g2[r, w] -= 1
         g1, g2 = g1 / np.float32(len(i)), g2 / np.float32(len(i))
@@ -91,12 +98,13 @@ def train(params, freq, line: np.ndarray, at: np.ndarray, squares, rate: float =
         for p, s, g in ((params[2], squares[2], hid.T @ g1), (params[3], squares[3], hid.T @ g2), (params[1], squares[1], back.sum(0))):
             s += g * g
             p -= rate * g / np.sqrt(s + 1e-6)
-        for j, x in enumerate(ctx):
-            rows, inverse = np.unique(x, return_inverse=True)
-            g = np.zeros((len(rows), HIDDEN), np.float32)
-            np.add.at(g, inverse, back)
-            squares[0][j][rows] += g * g
-            params[0][j][rows] -= rate * g / np.sqrt(squares[0][j][rows] + 1e-6)
+        order = np.argsort(ctx, kind="stable")  # equal vectors side by side; a radix sort
+        ctx = ctx[order]
+        first = np.flatnonzero(np.concatenate(([True], ctx[1:] != ctx[:-1])))
+        rows, g = ctx[first], np.add.reduceat(back[order % len(i)], first, axis=0)
+        q = old[rows] + g * g
+        old[rows] = q
+        vectors[rows] -= rate * g / np.sqrt(q + 1e-6)
 
 
 def _learn(seed: int):
@@ -109,7 +117,7 @@ def _learn(seed: int):
                 continue
             seen += np.bincount(line[at], minlength=WORDS)
             freq = _frequencies(seen)
-            train(params, freq, line, at[::STRIDE], squares)
+            train(params, freq, line, at, squares)
         n = seen.sum()
         if n:
             flat = np.concatenate([p.reshape(-1) for p in params]) * n

@@ -5,6 +5,7 @@ import re
 from urllib.parse import urlsplit
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strataq.llm import decontaminate, masked_lm, mixing, quality, queries, surrogates, url_filter, warc
@@ -142,6 +143,14 @@ def test_masked_lm(spark):
     assert masked_lm.score(docs(spark, []), masked_lm.fit(docs(spark, []))).count() == 0
 
 
+def test_masked_lm_trains_on_every_word(monkeypatch):
+    texts, seen = ["one", None, "two words", "a b c", "", "the cat sat on the mat"], []
+    monkeypatch.setattr(masked_lm, "train", lambda params, freq, line, at, squares: seen.extend(line[at]))
+    list(masked_lm._learn(3)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])])))
+    line, at, _ = masked_lm._windows([np.frombuffer((t or "").encode(), np.uint8) for t in texts])
+    assert len(at) == 12 and sorted(seen) == sorted(line[at])
+
+
 def test_surrogates(spark):
     text = "Write to Ann.Lee@Mail.example.com or ann.lee@mail.example.com, +1 (017) 555-7713, 97.51.17.173, 4012-8888-8888-1881, Mrs Julia Smith, Господин Иван Петров, password=b7db7aa4a5fc78 v4.0."
     new, found = surrogates.replace(text, b"k")
