@@ -1,12 +1,17 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from two words on each side.
 
-Words are hashed to 64 classes of 64. The hidden layer is tanh of the sum of one learned vector for each
-neighbour and its place; from it come the word's class, and the word within its class, each on top of
-the log-frequencies of the whole corpus. A document's score is the sum of log p(word | neighbours).
+Words are hashed to 64 classes of 64 cells. The hidden layer is tanh of the sum of one learned vector for each
+neighbour's cell and its place; from it come the word's class, and the cell within its class, each on top of
+the log-frequencies of the whole corpus. The word within its cell comes from a vocabulary of all words and their counts:
+log p(word | neighbours) = log p(cell | neighbours) + log p(word | cell). A document's score is the sum over its words.
+
+The vocabulary holds every distinct word (as a 64-bit hash) and grows with the corpus; it is a written table. Words seen
+once give half a count, and each cell ``FLOOR`` besides, to the rest: what a cell's unseen words have together. To
+score, documents are dealt to blocks of about ``BLOCK`` bytes; each block's distinct words are joined with the vocabulary.
 
 Training covers all documents: each task trains on its texts, every word in its turn as the word to predict,
-from the same start, and the results are averaged by words. What is gathered, a table of 1 MB for each task, grows with
-the corpus; it is summed in pieces, and the driver holds one sum.
+from the same start, and the results are averaged by words. Each task gives a table of 1 MB and its words' counts; the
+tables are summed in pieces, and the driver holds one sum and the rest of each cell.
 
 Nulls: null and empty texts have no words and score 0. Texts are read whole; a document of one word is predicted
 from padding. Repeated rows score alike. Empty tables give empty results. Extra columns are ignored.
@@ -19,15 +24,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import chunks, words_of
+from strataq.llm.common import chunks, stash, words_of
 
 CLASSES = WITHIN = 64
 WORDS, HIDDEN, PLACES = CLASSES * WITHIN, 16, (-2, -1, 1, 2)
 BATCH, PIECES = 512, 16
+#: Bytes of text in a block of documents that are scored together; distinct words that a task holds before it gives their counts.
+BLOCK, HELD = 4 << 20, 1 << 20
+FLOOR = 1e-4
 _SHAPES = ((len(PLACES), WORDS + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (HIDDEN, WITHIN))
 SIZE = sum(int(np.prod(s)) for s in _SHAPES)
 
 
+class Model(tuple):
+    """(params, frequencies), with ``vocab`` (word, logp: log p(word | cell)) and ``rest`` (by cell, of its unseen words)."""
+
+    vocab: DataFrame
+    rest: np.ndarray
+
+
 def start(seed: int = 3) -> list[np.ndarray]:
     rng = np.random.default_rng(seed)
     return [(rng.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for s in _SHAPES]
@@ -41,8 +56,11 @@ def _frequencies(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _windows(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All words, padded between texts; the places of real words; words in each text."""
-    h, counts = words_of(texts, lower=True)
+    """All words' cells, padded between texts; the places of real words; words in each text."""
+    return _laid(*words_of(texts, lower=True))
+
+
+def _laid(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     pad = max(PLACES)
     at = np.arange(len(h)) + np.repeat(np.arange(len(counts)) * pad + pad, counts)
     line = np.full(len(h) + pad * (len(counts) + 1), WORDS, np.int64)
@@ -63,7 +81,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 
 def log_probs(params, freq, line: np.ndarray, at: np.ndarray, block: int = 4096) -> np.ndarray:
-    """log p of the words at places ``at``, given their neighbours."""
+    """log p of the cells at places ``at``, given their neighbours."""
     table, bias, to_class, to_word = params
     by_class, by_word = freq
     out = np.empty(len(at))
@@ -107,21 +125,47 @@ def train(params, freq, line: np.ndarray, at: np.ndarray, squares, rate: float =
         vectors[rows] -= rate * g / np.sqrt(q + 1e-6)
 
 
+def _merged(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words and the sums of their counts."""
+    found, inverse = np.unique(np.concatenate(words), return_inverse=True)
+    return found, np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.int64)
+
+
+def _words_out(words: np.ndarray, counts: np.ndarray):
+    none = pa.nulls(len(words))
+    return pa.RecordBatch.from_arrays([none.cast(pa.int32()), none.cast(pa.binary()), pa.array(words.view(np.int64)), pa.array(counts)], names=_LEARNT)
+
+
+_LEARNT = ["piece", "sums", "word", "n"]
+
+
 def _learn(seed: int):
+    """Sums of the network in pieces, and rows of words and counts (piece is null)."""
     def run(batches):
         params, seen, freq = start(seed), np.zeros(WORDS), None
         squares = [np.zeros_like(p) for p in params]
+        held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for texts in chunks((b.column(0) for b in batches), 2 << 20):
-            line, at, _ = _windows(texts)
+            h, counts = words_of(texts, lower=True)
+            line, at, _ = _laid(h, counts)
             if not len(at):
                 continue
             seen += np.bincount(line[at], minlength=WORDS)
             freq = _frequencies(seen)
             train(params, freq, line, at, squares)
+            new = np.unique(h, return_counts=True)
+            held = _merged([held[0], new[0]], [held[1], new[1]])
+            if len(held[0]) > HELD:
+                yield _words_out(*held)
+                held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if len(held[0]):
+            yield _words_out(*held)
         n = seen.sum()
         if n:
             flat = np.concatenate([p.reshape(-1) for p in params]) * n
-            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES + 1), pa.int32()), pa.array([x.astype(np.float32).tobytes() for x in np.array_split(flat, PIECES)] + [seen.astype(np.float32).tobytes()], pa.binary())], names=["piece", "sums"])
+            none = pa.nulls(PIECES + 1, pa.int64())
+            sums = [x.astype(np.float32).tobytes() for x in np.array_split(flat, PIECES)] + [seen.astype(np.float32).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES + 1), pa.int32()), pa.array(sums, pa.binary()), none, none], names=_LEARNT)
 
     return run
 
@@ -136,41 +180,71 @@ def _add_up(batches):
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["piece", "sums"])
 
 
-def fit(docs: DataFrame, text_col: str = "text", seed: int = 3):
-    """(params, frequencies), averaged over all tasks by their words."""
-    schema = "piece int, sums binary"
-    parts = docs.select(text_col).mapInArrow(_learn(seed), schema)
-    rows = parts.repartition(PIECES + 1, "piece").mapInArrow(_add_up, schema).collect()
+def vocabulary(counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """Of words and counts: the written table of log p(word | cell), and log p of the rest of each cell."""
+    spark = counts.sparkSession
+    words = stash(spark, counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("cell", F.expr(f"cast(word & {WORDS - 1} as int)")), "words")
+    cells = stash(spark, words.groupBy("cell").agg(F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("once")), "cells")
+    rest = np.zeros(WORDS)
+    for r in cells.collect():
+        rest[r.cell] = np.log((r.once / 2 + FLOOR) / (r["all"] + FLOOR))
+    logp = F.log((F.col("n") - F.when(F.col("n") == 1, 0.5).otherwise(0.0)) / (F.col("all") + FLOOR))
+    return stash(spark, words.join(F.broadcast(cells), "cell").select("word", logp.alias("logp")), "vocabulary"), rest
+
+
+def fit(docs: DataFrame, text_col: str = "text", seed: int = 3) -> Model:
+    """The network, averaged over all tasks by their words, and the vocabulary."""
+    parts = stash(docs.sparkSession, docs.select(text_col).mapInArrow(_learn(seed), "piece int, sums binary, word long, n long"), "learnt")
+    pieces = parts.where("piece is not null").select("piece", "sums")
+    rows = pieces.repartition(PIECES + 1, "piece").mapInArrow(_add_up, pieces.schema).collect()
     sums: dict[int, np.ndarray] = {}
     for r in rows:
         x = np.frombuffer(r.sums, np.float64)
         sums[r.piece] = sums[r.piece] + x if r.piece in sums else x
-    if not sums:
-        return start(seed), _frequencies(np.zeros(WORDS))
-    counts = sums.pop(PIECES)
-    flat, params, k = np.concatenate([sums[j] for j in range(PIECES)]) / counts.sum(), [], 0
-    for s in _SHAPES:
-        n = int(np.prod(s))
-        params.append(flat[k: k + n].reshape(s).astype(np.float32))
-        k += n
-    return params, _frequencies(counts)
-
-
-def score(docs: DataFrame, model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    if sums:
+        counts = sums.pop(PIECES)
+        flat, params, k = np.concatenate([sums[j] for j in range(PIECES)]) / counts.sum(), [], 0
+        for s in _SHAPES:
+            n = int(np.prod(s))
+            params.append(flat[k: k + n].reshape(s).astype(np.float32))
+            k += n
+        model = Model((params, _frequencies(counts)))
+    else:
+        model = Model((start(seed), _frequencies(np.zeros(WORDS))))
+    model.vocab, model.rest = vocabulary(parts.where("piece is null").select("word", "n"))
+    return model
+
+
+def _distinct(block: pa.Table) -> pa.Table:
+    """The distinct words of a block of documents."""
+    found = np.unique(np.concatenate([np.unique(words_of(texts, lower=True)[0]) for texts in chunks([block["text"]])]))
+    return pa.table({"block": pa.repeat(block["block"][0], len(found)), "word": found.view(np.int64)})
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_words, pll (the sum of log-probabilities) and mean_logprob (null without words)."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        for batch in batches:
-            n, pll = [], []
-            for texts in chunks([batch.column(1)]):
-                line, at, counts = _windows(texts)
-                sums = np.concatenate(([0.0], np.cumsum(log_probs(*held.value, line, at))))
-                ends = np.cumsum(counts)
-                n.extend(counts)
-                pll.extend(sums[ends] - sums[ends - counts])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(pll, pa.float64())], names=["id", "n_words", "pll"])
-
-    rows = docs.select(F.col(id_col).alias("id"), text_col)
-    out = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_words long, pll double")
+    held = docs.sparkSession.sparkContext.broadcast((*model, model.rest))
+
+    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+        params, freq, rest = held.value
+        order = np.argsort(words := known["word"].to_numpy().view(np.uint64))
+        words, logp = words[order], known["logp"].to_numpy()[order]
+        n, pll = [], []
+        for texts in chunks([block["text"]]):
+            h, counts = words_of(texts, lower=True)
+            line, at, _ = _laid(h, counts)
+            own = logp[np.searchsorted(words, h)] if len(h) else np.zeros(0)
+            own = np.where(np.isnan(own), rest[line[at]], own)
+            sums = np.concatenate(([0.0], np.cumsum(log_probs(params, freq, line, at) + own)))
+            ends = np.cumsum(counts)
+            n.extend(counts)
+            pll.extend(sums[ends] - sums[ends - counts])
+        return pa.table({"id": block["id"], "n_words": pa.array(n, pa.int64()), "pll": pa.array(pll, pa.float64())})
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(size // BLOCK + 1)))
+    # every word of a block is in ``known``, with a null where the vocabulary lacks it
+    known = rows.groupBy("block").applyInArrow(_distinct, "block long, word long").join(model.vocab, "word", "left").select("block", "word", "logp")
+    out = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_words long, pll double")
     return out.withColumn("mean_logprob", F.when(F.col("n_words") > 0, F.col("pll") / F.col("n_words")))

@@ -151,6 +151,17 @@ def test_masked_lm_trains_on_every_word(monkeypatch):
     assert len(at) == 12 and sorted(seen) == sorted(line[at])
 
 
+def test_masked_lm_scores_words_that_share_a_cell(spark):
+    cell = lambda w: masked_lm._windows([np.frombuffer(w.encode(), np.uint8)])[0][2]
+    rare, unseen = [w for k in range(40_000) if cell(w := f"w{k}") == cell("cat")][:2]
+    rows = [(k, "the cat sat") for k in range(50)] + [(50, f"the {rare} sat"), (51, f"the {rare} sat")]
+    model = masked_lm.fit(docs(spark, rows))
+    assert model.vocab.count() == 4 and {round(r.logp, 4) for r in model.vocab.collect()} == {0.0, round(np.log(50 / 52), 4), round(np.log(2 / 52), 4)}
+    got = {r.id: r.pll for r in masked_lm.score(docs(spark, [*rows, (52, f"the {unseen} sat"), (52, f"the {unseen} sat")]), model).collect()}
+    assert got[0] - got[50] == pytest.approx(np.log(50 / 2), rel=1e-4) and got[50] == pytest.approx(got[51])
+    assert got[50] - got[52] == pytest.approx(np.log(2 / masked_lm.FLOOR), rel=1e-4)
+
+
 def test_surrogates(spark):
     text = "Write to Ann.Lee@Mail.example.com or ann.lee@mail.example.com, +1 (017) 555-7713, 97.51.17.173, 4012-8888-8888-1881, Mrs Julia Smith, Господин Иван Петров, password=b7db7aa4a5fc78 v4.0."
     new, found = surrogates.replace(text, b"k")
