@@ -45,6 +45,7 @@ ORACLE = {
     "join_left": 'SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id',
     "join_right": 'SELECT l.quality, d.doc_id FROM labels l RIGHT JOIN documents d ON l.doc_id = d.doc_id',
     "join_full": 'SELECT a.k AS ak, b.k AS bk FROM (SELECT doc_id AS k FROM documents WHERE doc_id < 200) a FULL JOIN (SELECT doc_id AS k FROM documents WHERE doc_id >= 100 AND doc_id < 300) b ON a.k = b.k',
+    "join_full_whole": 'SELECT l.l_orderkey, l.l_linenumber, o.o_orderkey FROM lineitem l FULL JOIN orders o ON l.l_orderkey = o.o_orderkey AND l.l_shipdate = o.o_orderdate',
     "join_dup_keys": 'SELECT n.n_name, s.s_suppkey FROM nation n JOIN supplier s ON n.n_nationkey = s.s_nationkey',
     "join_null_keys": "SELECT a.x, b.y FROM (VALUES (1, 'k'), (2, NULL)) AS a(x, k) LEFT JOIN (VALUES (10, 'k'), (20, NULL)) AS b(y, k) ON a.k = b.k",
     "join_composite": 'SELECT l.l_orderkey, o.o_orderdate FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey AND l.l_shipdate = o.o_orderdate',

@@ -144,6 +144,8 @@ QUERIES = {
     "join_right": lambda s, d: _labels_docs(s, d).select("l.quality", "d.doc_id").to_df(),
     "join_full": lambda s, d: _q(s, d, "a", a=_keys("documents", "doc_id", hi=200), b=_keys("documents", "doc_id", 100, 300))
     .full_join("b", ("a.k", "b.k")).select("a.k as ak", "b.k as bk").to_df(),
+    "join_full_whole": lambda s, d: _q(s, d, "lineitem", "l").full_join("orders", ("l.l_orderkey", "o.o_orderkey"), ("l.l_shipdate", "o.o_orderdate"), alias="o")
+    .select("l.l_orderkey", "l.l_linenumber", "o.o_orderkey").to_df(),
     "join_dup_keys": lambda s, d: _q(s, d, "nation", "n").join("supplier", ("n.n_nationkey", "s.s_nationkey"), alias="s").select("n.n_name", "s.s_suppkey").to_df(),
     "join_null_keys": lambda s, d: _q(s, d, "a", a=_made("x int, k string", (1, "k"), (2, None)), b=_made("y int, k string", (10, "k"), (20, None)))
     .left_join("b", ("a.k", "b.k")).select("a.x", "b.y").to_df(),

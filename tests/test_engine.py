@@ -38,6 +38,12 @@ def test_against_sql(spark, duck, name):
     assert rounded(tuple(r) for r in df.collect()) == rounded(want.fetchall())
 
 
+def test_full_join_of_whole_tables(spark):
+    rows, size = QUERIES["join_full_whole"](spark, DATA).collect(), lambda t: spark.read.parquet(f"{DATA}/{t}.parquet").count()
+    left, right = [r for r in rows if r[2] is None], [r for r in rows if r[0] is None]
+    assert left and right and len(rows) - len(right) == size("lineitem") and {r[2] for r in rows if r[2] is not None} == set(range(size("orders")))
+
+
 @pytest.fixture
 def contacts(spark):
     rows = [("rec_1", "Ada", "won", 90.0, "acme"), ("rec_2", "Bo", "lost", 10.0, "zeta"), ("rec_3", "Cy", "won", 70.0, "acme"),
