@@ -28,6 +28,8 @@ ORACLE = {
     "limit_offset": 'SELECT c_custkey, c_acctbal FROM customer ORDER BY c_acctbal ASC NULLS LAST, c_custkey LIMIT 20 OFFSET 30',
     "sort_nulls_last_asc": "SELECT o_orderkey, p FROM (SELECT o_orderkey, NULLIF(o_orderpriority, '1-URGENT') AS p FROM orders) t ORDER BY p ASC NULLS LAST, o_orderkey LIMIT 25",
     "sort_nulls_first_desc": "SELECT o_orderkey, p FROM (SELECT o_orderkey, NULLIF(o_orderpriority, '1-URGENT') AS p FROM orders) t ORDER BY p DESC NULLS FIRST, o_orderkey LIMIT 25",
+    "sort_nulls_last_asc_whole": "SELECT o_orderkey, p FROM (SELECT o_orderkey, NULLIF(o_orderpriority, '1-URGENT') AS p FROM orders) t ORDER BY p ASC NULLS LAST, o_orderkey",
+    "sort_nulls_first_desc_whole": "SELECT o_orderkey, p FROM (SELECT o_orderkey, NULLIF(o_orderpriority, '1-URGENT') AS p FROM orders) t ORDER BY p DESC NULLS FIRST, o_orderkey",
     "agg_count_star": "SELECT COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F'",
     "agg_count_col_vs_star": "SELECT COUNT(*) AS n_rows, COUNT(p) AS n_vals FROM (SELECT NULLIF(o_orderpriority, '5-LOW') AS p FROM orders) t",
     "agg_count_distinct": 'SELECT COUNT(DISTINCT o_custkey) AS n FROM orders',

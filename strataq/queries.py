@@ -122,6 +122,8 @@ QUERIES = {
     "limit_offset": _plain("customer", "c_custkey", "c_acctbal", then=lambda q: q.order_by("c_acctbal").order_by("c_custkey").limit(20).offset(30)),
     "sort_nulls_last_asc": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p").order_by("o_orderkey").limit(25)),
     "sort_nulls_first_desc": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p", "desc").order_by("o_orderkey").limit(25)),
+    "sort_nulls_last_asc_whole": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p").order_by("o_orderkey")),
+    "sort_nulls_first_desc_whole": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p", "desc").order_by("o_orderkey")),
     "agg_count_star": _plain("orders", agg("count", alias="n"), then=lambda q: q.where("o_orderstatus", "=", "F")),
     "agg_count_col_vs_star": _plain("t", agg("count", alias="n_rows"), agg("count", "p", "n_vals"), made=PRIORITY),
     "agg_count_distinct": _plain("orders", agg("count", "o_custkey", "n", distinct=True)),

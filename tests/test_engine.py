@@ -44,6 +44,13 @@ def test_full_join_of_whole_tables(spark):
     assert left and right and len(rows) - len(right) == size("lineitem") and {r[2] for r in rows if r[2] is not None} == set(range(size("orders")))
 
 
+@pytest.mark.parametrize("name", ["sort_nulls_last_asc_whole", "sort_nulls_first_desc_whole"])
+def test_whole_sorts_show_nulls_and_values(spark, duck, name):
+    got = [tuple(r) for r in QUERIES[name](spark, DATA).collect()]
+    assert got == duck.execute(ORACLE[name]).fetchall() and len(got) == spark.read.parquet(f"{DATA}/orders.parquet").count()
+    assert (got[0][1] is None, got[-1][1] is None) == ((False, True) if "last" in name else (True, False))
+
+
 @pytest.fixture
 def contacts(spark):
     rows = [("rec_1", "Ada", "won", 90.0, "acme"), ("rec_2", "Bo", "lost", 10.0, "zeta"), ("rec_3", "Cy", "won", 70.0, "acme"),
