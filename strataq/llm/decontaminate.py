@@ -1,16 +1,21 @@
 """Benchmark decontamination by spaced-seed hashing, in DataFrame operations only.
 
-Words are lower-cased runs of letters and digits. A fixed mask picks seven of eleven adjacent words; the
-hash of the picked words is a seed, so that words at ignored positions may be substituted. Seeds of the
-benchmark are joined with those of the documents. Around each hit the two texts are laid side by side and
-scored, 1 for an equal word and -2 for another; an overlap counts from a best stretch of ``min_score`` on.
+Words are lower-cased runs of letters and digits. A fixed mask picks four of five adjacent words; the
+hash of the picked words is a seed. Seeds of the benchmark are joined with those of the documents. Around each hit
+the document is laid beside the whole item and scored, 1 for an equal word and -2 for another; an overlap counts
+from a best stretch of ``min_score`` on, or when all but one in ``RATE`` of the item's words are equal.
+
+No overlap lacks a seed. A stretch without one has runs of at most four equal words, runs of three or four before two
+others, and scores 4 at most; and one in ``RATE`` words substituted leave items of more than ``SHORT`` words a seed
+(tried for all placements in 11, 12 and 18 words; longer items have such a part). Shorter items have seeds of their
+own, of all words but one (of all, below ``RATE`` words); documents are searched for the lengths that the benchmark has. Words that are added or left out end an overlap.
 
 A bit table of fixed size holds the benchmark's seeds, and lets a document emit only positions that may
 hit; when the benchmark outgrows it, more positions are emitted, and the join still decides. Benchmarks
 of up to ``inline_seeds`` seeds, whose words take up to 64 MB (``INLINE_WORDS``), are broadcast; larger ones are joined by a shuffle.
 
 Nulls: null and empty texts have no words and no hits; rows with a null identifier are judged and returned
-as such. Texts of fewer than eleven words have no seeds and never hit. Repeated rows hit alike and give
+as such. Items of any length from one word on are found. Repeated rows hit alike and give
 one row for each pair of identifiers. Empty tables give empty results. Extra columns are ignored.
 """
 
@@ -20,13 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Offsets of the words that count, in windows of SPAN words.
-MASKS = ((0, 1, 3, 4, 6, 9, 10), (0, 2, 3, 5, 7, 8, 10))
-SPAN = 11
+MASKS = ((0, 1, 2, 4),)
+SPAN = 5
+#: One word in RATE may be another; items of up to SHORT words have masks by their length.
+RATE, SHORT = 6, 10
 #: Bits of the seed table, in words of 64.
 TABLE_BITS = 1 << 22
 #: Words of 8 bytes that the seeds of a broadcast benchmark hold in all.
 INLINE_WORDS = 8 << 20
-#: Words looked at on each side of a hit.
+#: Words looked at on each side of a hit, at least; as many as the longest item has, if these are more.
 REACH = 64
 
 
@@ -36,15 +43,22 @@ def word_codes(text: Column) -> Column:
     return F.when(clean == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(clean, " "), lambda w: F.xxhash64(w)))
 
 
-def _seed(codes: str, i: str, mask: int) -> str:
-    return f"xxhash64({mask}, {', '.join(f'{codes}[{i} + {o}]' for o in MASKS[mask])})"
+def _seed(codes: str, i: str, mask: tuple[int, ...]) -> str:
+    return f"xxhash64('{mask}', {', '.join(f'{codes}[{i} + {o}]' for o in mask)})"
+
+
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """The masks of items of ``n`` words, up to SHORT."""
+    return [tuple(range(n))] if n < RATE else [tuple(o for o in range(n) if o != gone) for gone in range(n)]
 
 
 def benchmark_seeds(bench: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """seed, item, at (position of the window), codes (of the whole item)."""
-    items = bench.select(F.col(id_col).alias("item"), word_codes(F.col(text_col)).alias("codes"))
-    items = items.where(F.size("codes") >= SPAN).select("item", "codes", F.explode(F.expr(f"sequence(0, size(codes) - {SPAN})")).alias("at"))
-    return items.select("item", "at", "codes", F.explode(F.array(*(F.expr(_seed("codes", "at", m)) for m in range(len(MASKS))))).alias("seed"))
+    items = bench.select(F.col(id_col).alias("item"), word_codes(F.col(text_col)).alias("codes")).where(F.size("codes") > 0)
+    at = F.explode(F.expr(f"if(size(codes) > {SHORT}, sequence(0, size(codes) - {SPAN}), array(0))")).alias("at")
+    by_size = " ".join(f"when {n} then array({', '.join(_seed('codes', 'at', m) for m in short_masks(n))})" for n in range(1, SHORT + 1))
+    seeds = F.expr(f"case size(codes) {by_size} else array({', '.join(_seed('codes', 'at', m) for m in MASKS)}) end")
+    return items.select("item", "codes", at).select("item", "at", "codes", F.explode(seeds).alias("seed"))
 
 
 def seed_table(seeds: DataFrame) -> str:
@@ -63,14 +77,18 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     stretch of the item)."""
     seeds = benchmark_seeds(bench, item_col, item_text_col)
     table = seed_table(seeds)
-    n, held = seeds.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("codes")), F.lit(0))).first()
+    size = F.size("codes")
+    n, held, longest, sizes = seeds.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0)), F.max(size), F.collect_set(F.when(size <= SHORT, size))).first()
+    reach = max(REACH, longest or 0)
     small = n <= inline_seeds and held <= INLINE_WORDS  # every seed holds its item's words
     last = f"size(h) - {SPAN}"
-    found = " , ".join(f"filter(transform(sequence(0, {last}), i -> struct(i as i, {_seed('h', 'i', m)} as seed)), "
-                       f"x -> bit_get(from_json('{table}', 'array<bigint>')[cast(pmod(x.seed, {TABLE_BITS}L) div 64 as int)], cast(pmod(x.seed, 64L) as int)) = 1)" for m in range(len(MASKS)))
-    cut = f"x -> struct(x.i as i, x.seed as seed, greatest(x.i - {REACH}, 0) as lo, slice(h, greatest(x.i - {REACH}, 0) + 1, {2 * REACH + SPAN}) as near)"
+    known = f"x -> bit_get(from_json('{table}', 'array<bigint>')[cast(pmod(x.seed, {TABLE_BITS}L) div 64 as int)], cast(pmod(x.seed, 64L) as int)) = 1"
+    found = ", ".join(f"filter(transform(sequence(0, {last}), i -> struct(i as i, {_seed('h', 'i', m)} as seed)), {known})" for m in MASKS)
+    short = [f"transform(filter(sequence(0, size(h)), i -> i + {k} <= size(h)), i -> struct(i as i, {_seed('h', 'i', m)} as seed))" for k in sorted(sizes) for m in short_masks(k)]
+    short = [f"filter(concat({', '.join(short)}), {known})"] if short else []
+    cut = f"x -> struct(x.i as i, x.seed as seed, greatest(x.i - {reach}, 0) as lo, slice(h, greatest(x.i - {reach}, 0) + 1, {2 * reach + SPAN}) as near)"
     # the outer transform binds the words once for each document
-    hits = f"flatten(transform(array(words), h -> if({last} >= 0, transform(concat({found}), {cut}), null)))"
+    hits = f"flatten(transform(array(words), h -> if({last} >= 0, transform(concat({', '.join([found, *short])}), {cut}), {f'transform({short[0]}, {cut})' if short else 'null'})))"
     words = docs.select(F.col(id_col).alias("id"), word_codes(F.col(text_col)).alias("words"))
     maybe = words.select("id", F.explode(F.expr(hits)).alias("hit")).select("id", "hit.*")
     pairs = maybe.join(F.broadcast(seeds) if small else seeds, "seed")
@@ -80,7 +98,7 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
         (a, k) -> transform(array(if(i - at + k - lo >= 0 and i - at + k - lo < size(near) and get(near, i - at + k - lo) = codes[k], 1, 0)), e ->
             struct(greatest(0, a.cur + if(e = 1, 1, -2)) as cur, greatest(a.best, a.cur + if(e = 1, 1, -2)) as best, a.eq + e as eq, greatest(a.best_eq, a.eq + e) as best_eq))[0],
         a -> struct(a.best as score, a.best_eq as matched))""")
-    scored = pairs.select("id", "item", score.alias("s")).where(F.col("s.score") >= min_score)
+    scored = pairs.select("id", "item", score.alias("s"), F.size("codes").alias("size")).where(f"s.score >= {min_score} or s.matched >= size - size div {RATE}")
     return scored.groupBy("id", "item").agg(F.max("s.score").alias("score"), F.max("s.matched").alias("matched"))
 
 

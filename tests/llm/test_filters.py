@@ -36,6 +36,34 @@ def test_decontaminate(spark, monkeypatch):
     assert decontaminate.decontaminate(docs(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontaminate_short_and_substituted_items(spark):
+    """Against an alignment of each item at every position, without seeds."""
+    rng = np.random.default_rng(5)
+    items = {n: [f"i{n}w{k}" for k in range(n)] for n in (1, 3, 5, 6, 8, 10, 11, 12, 15, 18, 25, 150)}
+    texts = []
+    for n, w in items.items():
+        spots = [()] + [tuple(rng.choice(n, min(k, n), replace=False)) for k in (n // 6, n // 6 + 1, n // 3) for _ in range(6)] + [tuple(range(3, n, 4))]
+        spots += [(k,) for k in range(n)] if n <= 12 else []
+        for spot in spots:
+            texts.append(" ".join(["before"] * int(rng.integers(0, 9)) + ["x" if k in spot else x for k, x in enumerate(w)] + ["after"] * int(rng.integers(0, 9))))
+    want = set()
+    for d, t in enumerate(texts):
+        words = t.split()
+        for n, w in items.items():
+            for p in range(-n + 1, len(words)):
+                equal = [0 <= p + k < len(words) and words[p + k] == x for k, x in enumerate(w)]
+                cur = best = 0
+                for e in equal:
+                    cur = max(0, cur + (1 if e else -2))
+                    best = max(best, cur)
+                if best >= 10 or sum(equal) >= n - n // 6:
+                    want.add((d, n, best, sum(equal)))
+    bench = spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")
+    table = docs(spark, list(enumerate(texts)))
+    for inline in (200_000, 0):
+        assert {tuple(r) for r in decontaminate.decontaminate(table, bench, inline_seeds=inline).select("id", "item", "score", "matched").collect()} == want
+
+
 def rule(host, path):
     fit = [(len(h + p), h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fit)[1:] if fit else (None, None)
