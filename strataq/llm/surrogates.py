@@ -45,7 +45,7 @@ _GIVEN = "|".join(sorted(_LISTED, key=len, reverse=True))
 PATTERN = re.compile(
     r"(?P<email>[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
-    r"|(?P<secret>\b(?:password|passwd|pwd|secret|token|api_key)\s*[=:]\s*[\"']?)(?P<value>[^\s\"']{6,})"
+    r"|(?P<secret>(?<![^\W_])(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<value>[^\s\"']{6,})"
     r"|(?P<ip>(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9]))"
     r"|(?P<phone>(?<![\w+])(?P<cc>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
     r"|(?P<intl>(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9]))"
@@ -55,7 +55,7 @@ PATTERN = re.compile(
     rf"|\b(?P<given>{_GIVEN}) (?P<surname>{_WORD})")
 
 #: A text without any of these has no entity, and is passed on unread by the pattern.
-_HINT = re.compile(rf"[@\d]|password|passwd|pwd|secret|token|api_key|{TITLES['m']}|{TITLES['f']}|\b(?:{_GIVEN})\b")
+_HINT = re.compile(rf"[@\d]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|{TITLES['m']}|{TITLES['f']}|\b(?:{_GIVEN})\b")
 
 _ALPHABETS = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "àáâãäåèéêëìíîïòóôõöùúûü", "çñ"]
 _PLACE = {c: (a, k) for a in _ALPHABETS for k, c in enumerate(a)}

@@ -190,6 +190,13 @@ def test_masked_lm_scores_words_that_share_a_cell(spark):
     assert got[50] - got[52] == pytest.approx(np.log(2 / masked_lm.FLOOR), rel=1e-4)
 
 
+@pytest.mark.parametrize("text", ["Password: hunterabc", "API_KEY=qwertyuiop", "access_token=qwertyuiop", "client_secret: qwertyuiop", '{"password": "qwertyuiop"}', "apiKey = 'qwertyuiop'"])
+def test_secrets_in_any_spelling(text):
+    new, found = surrogates.replace(text, b"k")
+    assert [t for t, *_ in found] == ["secret"] and "qwertyuiop" not in new and "hunterabc" not in new and len(new) == len(text)
+    assert surrogates.replace("a notoken: qwertyuiop", b"k")[1] == []
+
+
 def test_surrogates(spark):
     text = "Write to Ann.Lee@Mail.example.com or ann.lee@mail.example.com, +1 (017) 555-7713, 97.51.17.173, 4012-8888-8888-1881, Mrs Julia Smith, Господин Иван Петров, password=b7db7aa4a5fc78 v4.0."
     new, found = surrogates.replace(text, b"k")
