@@ -23,6 +23,10 @@ class UnknownTable(KeyError):
 
 
 class ScanLimitExceeded(RuntimeError):
-    def __init__(self, limit):
-        self.limit = limit
-        super().__init__(f"the scan holds more than {limit} rows; narrow the filter or raise max_scanned")
+    """A scan reads more rows than allowed that a filter then throws away."""
+
+    MARK = "exceeds the scan budget"
+
+    def __init__(self, table, limit):
+        self.table, self.limit = table, limit
+        super().__init__(f"a query of {table!r} {self.MARK}: its filters throw away more than {limit} rows; narrow them or raise max_scanned")

@@ -4,6 +4,8 @@ split and simplify it; there is no predicate tree of our own."""
 from __future__ import annotations
 
 import operator
+import re
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column
@@ -22,12 +24,16 @@ OPERATORS = {
 
 
 def ref(name: str | Column) -> Column:
-    """A column by ``name`` or ``table.name``; each part may hold any character but a dot."""
+    """A column by ``name`` or ``table.name``. A name that holds a dot is written in backquotes."""
     if isinstance(name, Column):
         return name
     if not isinstance(name, str) or not name:
         raise UnsupportedWhere(f"a column name is needed, not {name!r}")
-    return F.col(".".join(f"`{p}`" for p in name.split(".")))
+    return F.col(name) if "`" in name else F.col(".".join(f"`{p}`" for p in name.split(".")))
+
+
+def member(table: str, column: str) -> Column:
+    return F.col(".".join("`" + p.replace("`", "``") + "`" for p in (table, column)))
 
 
 def _op(op: str):
@@ -42,8 +48,42 @@ def comparison(name, op: str, value, numeric_text: bool = False) -> Column:
     ``numeric_text`` compares a text column as numbers; text that is no number is UNKNOWN."""
     left = ref(name)
     if numeric_text:
-        left, value = left.try_cast("double"), float(value) if value is not None else None
-    return _op(op)(left, F.lit(value))
+        left, value = left.try_cast("double"), _number(value)
+    return _op(op)(left, F.lit(value).cast("double") if numeric_text else F.lit(value))
+
+
+#: Text that reads as a number.
+NUMERIC = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+_NUMBERS = ("byte", "short", "integer", "long", "float", "double", "decimal")
+
+
+def _number(value) -> float | None:
+    """The number that a literal is or reads as, else None."""
+    if isinstance(value, str):
+        return float(value) if re.match(NUMERIC, value) else None
+    return float(value) if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool) else None
+
+
+def mixed(kind: str | None, value) -> bool:
+    """Whether a column of this type and a literal meet as text and number."""
+    if kind == "string":
+        return _number(value) is not None
+    return kind in _NUMBERS and isinstance(value, str)
+
+
+def compared(name, op: str, value, kind: str | None) -> Column:
+    """column ⊕ literal by the column's type. Where text meets a number, or text that reads as one, values that read as
+    numbers compare as numbers and all others as text; nothing fails at run time."""
+    if not mixed(kind, value):
+        return comparison(name, op, value)
+    left, n, f = ref(name), _number(value), _op(op)
+    if kind == "string":
+        text = value if isinstance(value, str) else repr(int(value) if n == int(n) else n) if abs(n) < 2**53 else repr(value)
+        return F.when(left.rlike(NUMERIC), f(left.try_cast("double"), F.lit(n))).otherwise(f(left, F.lit(text)))
+    if n is not None:
+        return f(left, F.lit(n))
+    whole = left.cast("double") == F.floor(left.cast("double"))
+    return f(F.when(whole & (F.abs(left) < 2**53), left.cast("bigint").cast("string")).otherwise(left.cast("string")), F.lit(value))
 
 
 def column_comparison(left, op: str, right) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, replace
 from datetime import date, datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from strataq.errors import QueryRefused, ScanLimitExceeded, UnsupportedWhere
 from strataq.operators import predicates as P
@@ -46,8 +49,10 @@ class Join:
 
 @dataclass(frozen=True)
 class Query:
+    """``root`` is a table's name, or the query whose rows are read."""
+
     catalog: object
-    root: str
+    root: object
     alias: str
     joins: tuple = ()
     filters: tuple = ()
@@ -61,7 +66,9 @@ class Query:
 
     @classmethod
     def table(cls, catalog, name: str, alias: str | None = None, max_scanned: int | None = None) -> Query:
-        """``max_scanned`` raises ScanLimitExceeded when the filtered scan holds more rows."""
+        """``max_scanned``: how many rows the root's scan may read only for a filter to throw them away. Filters that a
+        Parquet scan takes over (comparisons with literals, IN, BETWEEN, empty tests, prefixes) cost nothing; of the rows
+        that they leave, those that the other filters reject are counted when the query runs, which then fails."""
         if not isinstance(name, str):
             raise QueryRefused("a query reads from exactly one root table")
         return cls(catalog, name, alias or name, max_scanned=max_scanned)
@@ -77,19 +84,21 @@ class Query:
             if not isinstance(x, Item):
                 raise QueryRefused("computed expressions can't be selected; name a column or an aggregate")
             out.append(x)
-        return replace(self, items=(self.items or ()) + tuple(out))
+        q = self._opened()
+        return replace(q, items=(q.items or ()) + tuple(out))
 
     def select_all(self) -> Query:
-        return replace(self, items=None)
+        return replace(self._opened(), items=None)
 
     # filters
     def where(self, column, op: str | None = None, value=None, **how) -> Query:
         """``where(predicate)`` or ``where(name, operator, literal)``."""
+        q = self._opened()
         if isinstance(column, Column) and op is None:
-            return replace(self, filters=self.filters + ((column,),))
+            return replace(q, filters=q.filters + ((column,),))
         if not isinstance(column, str):
             raise UnsupportedWhere("the left side of a filter must be a column name")
-        return replace(self, filters=self.filters + ((column, op, value, how),))
+        return replace(q, filters=q.filters + ((column, op, value, how),))
 
     def where_ref(self, left: str, op: str, right: str) -> Query:
         return self.where(P.column_comparison(left, op, right))
@@ -98,7 +107,8 @@ class Query:
     def group_by(self, *names: str) -> Query:
         if not all(isinstance(x, str) for x in names):
             raise QueryRefused("GROUP BY takes column names")
-        return replace(self, groups=self.groups + names)
+        q = self._opened()
+        return replace(q, groups=q.groups + names)
 
     def order_by(self, name: str, direction: str = "asc") -> Query:
         if not isinstance(name, str) or direction not in ("asc", "desc"):
@@ -113,10 +123,10 @@ class Query:
 
     # joins
     def join(self, table: str, *pairs, kind: str = "inner", alias: str | None = None) -> Query:
-        j = Join(table, alias or table, tuple(pairs), kind)
-        if j.alias in {self.alias, *(x.alias for x in self.joins)}:
+        q, j = self._opened(), Join(table, alias or table, tuple(pairs), kind)
+        if j.alias in {q.alias, *(x.alias for x in q.joins)}:
             raise QueryRefused(f"{j.alias} is joined twice; give it an alias")
-        return replace(self, joins=self.joins + (j,))
+        return replace(q, joins=q.joins + (j,))
 
     def left_join(self, table, *pairs, alias=None):
         return self.join(table, *pairs, kind="left", alias=alias)
@@ -127,6 +137,10 @@ class Query:
     def full_join(self, table, *pairs, alias=None):
         return self.join(table, *pairs, kind="full", alias=alias)
 
+    def _opened(self) -> Query:
+        """Clauses after a set operation hold for its combined rows: they go to a query that reads these."""
+        return Query(self.catalog, self, self.alias) if self.branches else self
+
     # set operations: a left fold; order, limit and offset given afterwards hold for the whole
     def _combine(self, op: str, other) -> Query:
         if not isinstance(other, (Query, DataFrame)):
@@ -158,19 +172,20 @@ class Query:
             for op, right in frames[1:]:
                 df = combine(df, right, op)
             return self._slice(self._sorted(df))
-        df = self.catalog.table(self.root).alias(self.alias)
-        types = self._types()
+        df, types = self._read(self.root).alias(self.alias), self._types()
+        if self.max_scanned is not None and (lost := self._lost(df, types)) is not None:
+            stop = F.raise_error(F.lit(str(ScanLimitExceeded(self.root, self.max_scanned))))
+            # below all other filters, so that it is met even where these leave no row
+            df = df.where(F.when(lost > self.max_scanned, stop.cast("boolean")).otherwise(True))
         for j in self.joins:
-            df = join_pairs(df, self.catalog.table(j.table).alias(j.alias), j.pairs, j.kind)
+            df = join_pairs(df, self._read(j.table).alias(j.alias), j.pairs, j.kind)
         for f in self.filters:
-            df = df.where(f[0] if len(f) == 1 else self._predicate(types, *f))
-        if self.max_scanned is not None and df.limit(self.max_scanned + 1).count() > self.max_scanned:
-            raise ScanLimitExceeded(self.max_scanned)
+            df = df.where(self._condition(types, f))
         items = self.items
         if self.groups or any(i.fn for i in items or ()):
             return self._slice(self._sorted(self._grouped(df, items or ())))
         if items is None:
-            names = [P.ref(f"{a}.{c}").alias(f"{a}.{c}" if self.joins else c) for a, c in self._columns()]
+            names = [P.member(a, c).alias(f"{a}.{c}" if self.joins else c) for a, c in self._columns()]
             # sorted first: a sort key may be named with or without its table
             return self._slice(self._sorted(df)).select(*names)
         aliases = {i.alias for i in items}
@@ -180,14 +195,43 @@ class Query:
             return self._slice(self._sorted(df.select(*(P.ref(i.name).alias(i.alias) for i in items))))
         return self._slice(self._sorted(df)).select(*(P.ref(i.name).alias(i.alias) for i in items))
 
+    def collect(self) -> list:
+        """The rows; a budget that is exceeded raises ScanLimitExceeded."""
+        try:
+            return self.to_df().collect()
+        except PySparkException as e:
+            if self.max_scanned is not None and ScanLimitExceeded.MARK in str(e):
+                raise ScanLimitExceeded(self.root, self.max_scanned) from e
+            raise
+
+    def _read(self, table) -> DataFrame:
+        return table.to_df() if isinstance(table, Query) else self.catalog.table(table)
+
+    def _condition(self, types: dict, f: tuple) -> Column:
+        return f[0] if len(f) == 1 else self._predicate(types, *f)
+
+    def _lost(self, root: DataFrame, types: dict) -> Column | None:
+        """How many of the root's rows its filters beyond the scan's own reject, counted as a part of the query."""
+        own = {n for c in root.columns for n in (c, f"{self.alias}.{c}")}
+        mine = [f for f in self.filters if (f[0] in own if len(f) > 1 else not self.joins)]
+        scan = [f for f in mine if _scanned(f) and not P.mixed(types[f[0]], f[2])]
+        rest = [f for f in mine if f not in scan]
+        if not rest:  # an exact scan throws nothing away
+            return None
+        for f in scan:
+            root = root.where(self._condition(types, f))
+        lost = root.where(~F.coalesce(P.all_(*(self._condition(types, f) for f in rest)), F.lit(False)))
+        return lost.limit(self.max_scanned + 1).agg(F.count(F.lit(1))).scalar()
+
     def _columns(self):
         for t, a in ((self.root, self.alias), *((j.table, j.alias) for j in self.joins)):
-            yield from ((a, c) for c in self.catalog.table(t).columns)
+            hidden = self.catalog.hidden(t) if isinstance(t, str) else ()
+            yield from ((a, c) for c in self._read(t).columns if c not in hidden)
 
     def _types(self) -> dict:
         out = {}
         for t, a in ((self.root, self.alias), *((j.table, j.alias) for j in self.joins)):
-            for f in self.catalog.table(t).schema.fields:
+            for f in self._read(t).schema.fields:
                 out[f"{a}.{f.name}"] = f.dataType.typeName()
                 out.setdefault(f.name, f.dataType.typeName())
         return out
@@ -201,14 +245,19 @@ class Query:
         if op in ("in", "not in"):
             if value is None or isinstance(value, (str, Query, DataFrame, Column)):
                 raise UnsupportedWhere("IN takes a list of literals; subqueries are not supported")
-            return P.one_of(name, [_literal(v, kind) for v in value], op == "not in")
+            values = [_literal(v, kind) for v in value]
+            if any(P.mixed(kind, v) for v in values):
+                some = P.any_(*(P.compared(name, "=", v, kind) for v in values))
+                return P.negate(some) if op == "not in" else some
+            return P.one_of(name, values, op == "not in")
         if op in ("like", "ilike"):
             return P.matches(name, value, op == "ilike")
         if op == "between":
-            return P.in_range(name, *value)
+            lo, hi = (_literal(v, kind) for v in value)
+            return P.all_(P.compared(name, ">=", lo, kind), P.compared(name, "<=", hi, kind))
         if isinstance(value, (Query, DataFrame, Column)):
             raise UnsupportedWhere("a filter compares with a literal; use where_ref for columns")
-        return P.comparison(name, op, _literal(value, kind), **how)
+        return P.comparison(name, op, value, **how) if how else P.compared(name, op, _literal(value, kind), kind)
 
     def _grouped(self, df: DataFrame, items) -> DataFrame:
         short = {g.split(".")[-1] for g in self.groups} | set(self.groups)
@@ -235,6 +284,18 @@ class Query:
         return df if self.n is None else df.limit(self.n)
 
 
+def _scanned(f: tuple) -> bool:
+    """Whether a Parquet scan decides a filter by itself."""
+    if len(f) == 1 or f[3]:
+        return False
+    op, value = str(f[1]).lower(), f[2]
+    if isinstance(value, (list, tuple)) and any(isinstance(v, str) and re.match(P.NUMERIC, v) for v in value):
+        return False
+    if op == "like":
+        return isinstance(value, str) and not set("_\\") & set(value) and "%" not in value[:-1]
+    return op != "ilike" and not isinstance(value, (Query, DataFrame, Column))
+
+
 def _literal(value, kind: str | None):
     """Booleans also take 'true', 'false' and numbers; times also take ISO text."""
     if kind == "boolean" and isinstance(value, str):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from strataq.errors import QueryRefused
 from strataq.operators import predicates as P
 from strataq.plans.query import Query, agg
 from strataq.sources import store
@@ -25,10 +26,6 @@ def _nulled(table, key, column, value, alias):
     return lambda s, d: _read(s, d, table).select(key, F.nullif(F.col(column), F.lit(value)).alias(alias))
 
 
-def _made(schema, *rows):
-    return lambda s, d: s.createDataFrame(list(rows), schema)
-
-
 def _cents(table, *columns):
     """Money as decimals, so that a sum doesn't depend on its order."""
     return lambda s, d: _read(s, d, table).withColumns({f"{c}_dec": F.col(c).cast(CENT) for c in columns})
@@ -60,6 +57,73 @@ def _piped(f, *after):
     return run
 
 
+def _places(spark, d):
+    """nation under another name, with system columns; only ``id`` is part of all columns."""
+    c = Catalog(spark, d, overrides={"places": "nation"}, system={"places": {"id": "n_nationkey", "createdAt": "n_regionkey", "updatedAt": "n_regionkey"}})
+    return Query.table(c, "places")
+
+
+def _stored(spark, d, allow=True):
+    c = Catalog(spark, d)
+    return c, store.Store(c, allow_archiving_delete=allow)
+
+
+def _deleted(spark, d):
+    """customer without those overdrawn, after a delete; a column of the table's own called status keeps its values."""
+    c, s = _stored(spark, d)
+    c.register("customer", c.stored("customer").withColumn("status", F.col("c_mktsegment")))
+    s.delete("customer", P.comparison("c_acctbal", "<", 0))
+    return Query.table(c, "customer").select("c_custkey", "status").to_df()
+
+
+def _affected(spark, d):
+    """How many rows an insert, an update and a delete say that they wrote."""
+    _, s = _stored(spark, d)
+    made = [("insert", s.insert("region", [{"r_regionkey": 98, "r_name": "X"}, {"r_regionkey": 99}]).affected),
+            ("update", s.update("customer", P.comparison("c_acctbal", "<", 0), {"c_mktsegment": "OVERDRAWN"}).affected),
+            ("delete", s.delete("customer", P.comparison("c_mktsegment", "=", "OVERDRAWN")).affected),
+            ("again", s.delete("customer", P.comparison("c_acctbal", "<", 0)).affected)]
+    return spark.createDataFrame(made, "write string, affected long")
+
+
+def _updated(spark, d):
+    _, s = _stored(spark, d)
+    return s.update("customer", P.comparison("c_acctbal", "<", 0), {"c_mktsegment": "OVERDRAWN"}).rows.select("c_custkey", "c_mktsegment")
+
+
+#: What the builder refuses, by name.
+REFUSED = {
+    "aggregate of an expression": lambda q: agg("sum", F.lit(1), "s"),
+    "aggregate without alias": lambda q: agg("sum", "o_totalprice"),
+    "computed column": lambda q: q.select(F.lit(1)),
+    "cross join": lambda q: q.join("customer", ("orders.o_custkey", "customer.c_custkey"), kind="cross").to_df(),
+    "delete not allowed": lambda q: store.Store(q.catalog).delete("orders", None),
+    "distinct": lambda q: q.distinct(),
+    "having": lambda q: q.having("o_orderkey"),
+    "like without text": lambda q: q.where("o_orderstatus", "like", 3).to_df(),
+    "limit that is no whole number": lambda q: q.limit(1.5),
+    "median": lambda q: agg("median", "o_totalprice", "m"),
+    "order by expression": lambda q: q.order_by(F.lit(1)),
+    "raw SQL": lambda q: store.Store(q.catalog).execute_raw("select 1"),
+    "set operation of other types": lambda q: q.select("o_orderkey").union(q.select("o_orderstatus")).to_df(),
+    "subquery": lambda q: q.where("o_orderkey", "in", q).to_df(),
+    "transaction": lambda q: store.Store(q.catalog).begin(),
+    "two tables in FROM": lambda q: Query.table(q.catalog, ["orders", "customer"]),
+}
+
+
+def _refusals(spark, d):
+    """Whether each request of REFUSED is refused."""
+    def refused(f):
+        try:
+            f(_q(spark, d, "orders"))
+        except QueryRefused:
+            return True
+        return False
+
+    return spark.createDataFrame([(name, refused(f)) for name, f in REFUSED.items()], "request string, refused boolean")
+
+
 def _orders_customers(spark, d):
     return _q(spark, d, "orders", "o").join("customer", ("o.o_custkey", "c.c_custkey"), alias="c")
 
@@ -72,14 +136,6 @@ def _labels_docs(s, d):
     return _q(s, d, "labels", "l").right_join("documents", ("l.doc_id", "d.doc_id"), alias="d")
 
 
-def _keys(table, column, lo=None, hi=None):
-    def make(s, d):
-        df = _read(s, d, table).select(F.col(column).alias("k"))
-        df = df if lo is None else df.where(F.col("k") >= lo)
-        return df if hi is None else df.where(F.col("k") < hi)
-    return make
-
-
 def _one(s, d, table, column, then=lambda q: q):
     return then(_q(s, d, table)).select(f"{column} as k")
 
@@ -87,12 +143,21 @@ def _one(s, d, table, column, then=lambda q: q):
 NATIONS = [("customer", "c_nationkey"), ("supplier", "s_nationkey")]
 PRIORITY = {"t": _nulled("orders", "o_orderkey", "o_orderpriority", "5-LOW", "p")}
 URGENT = {"t": _nulled("orders", "o_orderkey", "o_orderpriority", "1-URGENT", "p")}
-NAMES = {"t": _made("x int, n string", (1, "a"), (2, ""), (3, None))}
+FINISHED = {"t": lambda s, d: _read(s, d, "orders").select("o_orderkey", F.expr("case o_orderstatus when 'F' then true when 'O' then false end").alias("done"))}
+#: Sizes as text, some with a leading zero, some no numbers, some NULL.
+SIZES = {"t": lambda s, d: _read(s, d, "part").select("p_partkey", F.expr(
+    "case p_size % 4 when 0 then null when 1 then concat('0', p_size) when 2 then cast(p_size as string) else 'none' end").alias("s"))}
+NAMES = {"t": lambda s, d: _read(s, d, "orders").select("o_orderkey", F.expr("case o_orderstatus when 'F' then '' when 'P' then null else o_orderpriority end").alias("n"))}
+MARKED = {"t": lambda s, d: _read(s, d, "orders").select("o_orderkey", F.expr(
+    "case o_orderstatus when 'F' then translate(o_orderpriority, '-', '_') when 'P' then concat(o_orderpriority, '%') else o_orderpriority end").alias("x"))}
 ORDERS_DEC = {"orders_dec": _cents("orders", "o_totalprice")}
 
 QUERIES = {
     "scan_all": _plain("nation"),
     "project_columns": _plain("orders", "o_orderkey", "o_totalprice"),
+    "catalog_override": lambda s, d: Query.table(Catalog(s, d, overrides={"places": "nation"}), "places").select("n_name").to_df(),
+    "system_columns": lambda s, d: _places(s, d).select("n_name", "id", "createdAt").to_df(),
+    "select_all_system": lambda s, d: _places(s, d).to_df(),
     "project_alias": _plain("customer", "c_custkey as customer_id", "c_mktsegment as segment"),
     "filter_eq": _plain("customer", "c_custkey", "c_name", then=lambda q: q.where("c_mktsegment", "=", "BUILDING")),
     "filter_ne": _plain("customer", "c_custkey", then=lambda q: q.where("c_mktsegment", "<>", "BUILDING")),
@@ -112,18 +177,22 @@ QUERIES = {
     "filter_between": _plain("orders", "o_orderkey", then=lambda q: q.where("o_totalprice", "between", (100000, 150000))),
     "filter_like_prefix": _plain("part", "p_partkey", "p_name", then=lambda q: q.where("p_name", "like", "red%")),
     "filter_like_underscore": _plain("orders", "o_orderkey", then=lambda q: q.where("o_orderpriority", "like", "_-H%")),
-    "filter_like_escape": _plain("t", "x", made={"t": _made("x string", ("100%",), ("100 percent",), ("a_c",), ("abc",))},
-                                 then=lambda q: q.where(P.any_(P.matches("x", "100\\%"), P.matches("x", "a\\_c")))),
+    "filter_like_escape": _plain("t", "o_orderkey", "x", made=MARKED, then=lambda q: q.where(P.any_(P.matches("x", "1\\_U%"), P.matches("x", "%\\%")))),
     "filter_ilike": _plain("customer", "c_custkey", then=lambda q: q.where("c_mktsegment", "ilike", "%build%")),
-    "filter_is_empty": _plain("t", "x", "n", made=NAMES, then=lambda q: q.where("n", "is", None)),
-    "filter_is_not_empty": _plain("t", "x", "n", made=NAMES, then=lambda q: q.where("n", "is not", None)),
+    "filter_is_empty": _plain("t", "o_orderkey", "n", made=NAMES, then=lambda q: q.where("n", "is", None)),
+    "filter_is_not_empty": _plain("t", "o_orderkey", "n", made=NAMES, then=lambda q: q.where("n", "is not", None)),
+    "filter_true": _plain("part", "p_partkey", then=lambda q: q.where(P.always_true())),
+    "filter_boolean_text": _plain("t", "o_orderkey", made=FINISHED, then=lambda q: q.where("done", "=", "true")),
+    "filter_boolean_number": _plain("t", "o_orderkey", made=FINISHED, then=lambda q: q.where("done", "=", 0)),
+    "filter_numeric_text": _plain("t", "p_partkey", "s", made=SIZES, then=lambda q: q.where("s", ">", 9)),
+    "filter_numeric_text_in": _plain("t", "p_partkey", made=SIZES, then=lambda q: q.where("s", "in", ["07", "none", 12])),
+    "filter_number_against_text": _plain("part", "p_partkey", then=lambda q: q.where("p_size", "<", "9").where("p_size", "<>", "many")),
+    "scan_budget": lambda s, d: Query.table(Catalog(s, d), "orders", max_scanned=0).where("o_orderstatus", "=", "F").select("o_orderkey").to_df(),
     "topk": _plain("orders", "o_orderkey", "o_totalprice", then=lambda q: q.where("o_orderstatus", "=", "F").where("o_totalprice", ">", 40)
                    .order_by("o_totalprice", "desc").order_by("o_orderkey").limit(10)),
     "limit_offset": _plain("customer", "c_custkey", "c_acctbal", then=lambda q: q.order_by("c_acctbal").order_by("c_custkey").limit(20).offset(30)),
-    "sort_nulls_last_asc": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p").order_by("o_orderkey").limit(25)),
-    "sort_nulls_first_desc": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p", "desc").order_by("o_orderkey").limit(25)),
-    "sort_nulls_last_asc_whole": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p").order_by("o_orderkey")),
-    "sort_nulls_first_desc_whole": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p", "desc").order_by("o_orderkey")),
+    "sort_nulls_last_asc": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p").order_by("o_orderkey")),
+    "sort_nulls_first_desc": _plain("t", "o_orderkey", "p", made=URGENT, then=lambda q: q.order_by("p", "desc").order_by("o_orderkey")),
     "agg_count_star": _plain("orders", agg("count", alias="n"), then=lambda q: q.where("o_orderstatus", "=", "F")),
     "agg_count_col_vs_star": _plain("t", agg("count", alias="n_rows"), agg("count", "p", "n_vals"), made=PRIORITY),
     "agg_count_distinct": _plain("orders", agg("count", "o_custkey", "n", distinct=True)),
@@ -144,13 +213,11 @@ QUERIES = {
     "join_inner": lambda s, d: _orders_customers(s, d).select("o.o_orderkey", "c.c_name").to_df(),
     "join_left": lambda s, d: _docs_labels("left")(s, d).select("d.doc_id", "l.quality").to_df(),
     "join_right": lambda s, d: _labels_docs(s, d).select("l.quality", "d.doc_id").to_df(),
-    "join_full": lambda s, d: _q(s, d, "a", a=_keys("documents", "doc_id", hi=200), b=_keys("documents", "doc_id", 100, 300))
-    .full_join("b", ("a.k", "b.k")).select("a.k as ak", "b.k as bk").to_df(),
-    "join_full_whole": lambda s, d: _q(s, d, "lineitem", "l").full_join("orders", ("l.l_orderkey", "o.o_orderkey"), ("l.l_shipdate", "o.o_orderdate"), alias="o")
+    "join_full": lambda s, d: _q(s, d, "lineitem", "l").full_join("orders", ("l.l_orderkey", "o.o_orderkey"), ("l.l_shipdate", "o.o_orderdate"), alias="o")
     .select("l.l_orderkey", "l.l_linenumber", "o.o_orderkey").to_df(),
     "join_dup_keys": lambda s, d: _q(s, d, "nation", "n").join("supplier", ("n.n_nationkey", "s.s_nationkey"), alias="s").select("n.n_name", "s.s_suppkey").to_df(),
-    "join_null_keys": lambda s, d: _q(s, d, "a", a=_made("x int, k string", (1, "k"), (2, None)), b=_made("y int, k string", (10, "k"), (20, None)))
-    .left_join("b", ("a.k", "b.k")).select("a.x", "b.y").to_df(),
+    "join_null_keys": lambda s, d: _q(s, d, "a", a=_nulled("customer", "c_custkey", "c_nationkey", 3, "k"), b=_nulled("supplier", "s_suppkey", "s_nationkey", 3, "k"))
+    .left_join("b", ("a.k", "b.k")).select("a.c_custkey", "b.s_suppkey").to_df(),
     "join_composite": lambda s, d: _q(s, d, "lineitem", "l").join("orders", ("l.l_orderkey", "o.o_orderkey"), ("l.l_shipdate", "o.o_orderdate"), alias="o")
     .select("l.l_orderkey", "o.o_orderdate").to_df(),
     "join_chain": lambda s, d: _q(s, d, "region", "r").join("nation", ("r.r_regionkey", "n.n_regionkey"), alias="n")
@@ -162,17 +229,31 @@ QUERIES = {
     "join_right_where_is_null": lambda s, d: _labels_docs(s, d).where("l.quality", "is", None).select("d.doc_id").to_df(),
     "join_order_limit": lambda s, d: _orders_customers(s, d).select("o.o_orderkey", "c.c_name", "o.o_totalprice")
     .order_by("o_totalprice", "desc").order_by("o_orderkey").limit(10).to_df(),
+    "join_select_all": lambda s, d: _q(s, d, "region", "r").join("nation", ("r.r_regionkey", "n.n_regionkey"), alias="n").to_df(),
+    "join_group": lambda s, d: _orders_customers(s, d).group_by("c.c_mktsegment").select("c_mktsegment", agg("count", alias="n"), agg("max", "o.o_totalprice", "most")).to_df(),
+    "join_offset": lambda s, d: _orders_customers(s, d).select("o.o_orderkey", "c.c_name").order_by("o_orderkey").limit(20).offset(30).to_df(),
+    "group_offset": _plain("customer", "c_nationkey", agg("count", alias="n"), then=lambda q: q.group_by("c_nationkey").order_by("n", "desc").order_by("c_nationkey").limit(5).offset(7)),
     "union_distinct": lambda s, d: _one(s, d, *NATIONS[0]).union(_one(s, d, *NATIONS[1])).to_df(),
     "union_all": lambda s, d: _one(s, d, *NATIONS[0]).union(_one(s, d, *NATIONS[1]), all=True).to_df(),
     "intersect_distinct": lambda s, d: _one(s, d, "orders", "o_custkey").intersect(_one(s, d, "customer", "c_custkey", lambda q: q.where("c_acctbal", ">", 5000))).to_df(),
     "intersect_all": lambda s, d: _one(s, d, *NATIONS[0]).intersect(_one(s, d, *NATIONS[1]), all=True).to_df(),
     "except_distinct": lambda s, d: _one(s, d, "customer", "c_custkey").except_(_one(s, d, "orders", "o_custkey", lambda q: q.where("o_totalprice", ">", 400000))).to_df(),
     "except_all": lambda s, d: _one(s, d, "orders", "o_custkey").except_(_one(s, d, "customer", "c_custkey"), all=True).to_df(),
-    "setop_null_match": lambda s, d: _q(s, d, "a", a=_made("x int", (1,), (None,))).intersect(_q(s, d, "b", b=_made("x int", (None,), (2,)))).to_df(),
+    "setop_null_match": lambda s, d: _q(s, d, "a", a=_nulled("customer", "c_custkey", "c_nationkey", 3, "k")).select("k")
+    .intersect(_q(s, d, "b", b=_nulled("supplier", "s_suppkey", "s_nationkey", 3, "k")).select("k")).to_df(),
     "setop_left_fold": lambda s, d: _one(s, d, "nation", "n_nationkey").union(_one(s, d, "region", "r_regionkey"), all=True)
     .intersect(_one(s, d, "customer", "c_nationkey", lambda q: q.where("c_nationkey", "<", 10))).to_df(),
     "setop_order_limit": lambda s, d: _one(s, d, "orders", "o_custkey", lambda q: q.where("o_totalprice", ">", 400000))
     .union(_one(s, d, "customer", "c_custkey", lambda q: q.where("c_acctbal", "<", 0))).order_by("k", "desc").limit(10).to_df(),
+    "setop_offset": lambda s, d: _one(s, d, *NATIONS[0]).union(_one(s, d, *NATIONS[1])).order_by("k").limit(6).offset(9).to_df(),
+    "setop_then_where": lambda s, d: _one(s, d, "orders", "o_custkey").union(_one(s, d, "customer", "c_custkey")).where("k", ">", 50).where("k", "<=", 900).to_df(),
+    "setop_then_group": lambda s, d: _one(s, d, *NATIONS[0]).union(_one(s, d, *NATIONS[1]), all=True).group_by("k").select("k", agg("count", alias="n")).to_df(),
+    "setop_then_join": lambda s, d: _one(s, d, *NATIONS[0]).union(_one(s, d, *NATIONS[1])).join("nation", ("customer.k", "n.n_nationkey"), alias="n").select("customer.k", "n.n_name").to_df(),
+    "setop_limit_then_where": lambda s, d: _one(s, d, "orders", "o_custkey").union(_one(s, d, "customer", "c_custkey")).order_by("k").limit(40).where("k", ">", 20).to_df(),
+    "refusals": _refusals,
+    "write_affected": _affected,
+    "write_updated_rows": _updated,
+    "write_delete": _deleted,
     "write_insert": lambda s, d: store.insert(_read(s, d, "region"), [{"r_regionkey": 99, "r_name": "NOWHERE"}]),
     "write_update": lambda s, d: store.update(_read(s, d, "customer"), P.comparison("c_acctbal", "<", 0), {"c_mktsegment": "OVERDRAWN"}).select("c_custkey", "c_mktsegment"),
     "write_archive": lambda s, d: store.live(store.archive(_read(s, d, "customer"), P.comparison("c_acctbal", "<", 0))).select("c_custkey"),

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from strataq.errors import UnknownTable
 
-#: System columns that a table shows when it has no column of that name itself.
+#: System columns that a table shows when it has no column of that name itself. ``select_all`` shows the first alone.
 SYSTEM = ("id", "createdAt", "updatedAt")
+#: Marks archived rows of a stored table; no query sees it, or them.
+ARCHIVED = "__archived"
 
 
 class Catalog:
@@ -41,20 +43,32 @@ class Catalog:
                           if s.getPath().getName().endswith(".parquet")}
         return sorted(names)
 
+    def hidden(self, name: str) -> set[str]:
+        """System columns that can be named but are no part of ``select_all``."""
+        own = self.stored(name).columns
+        return {c for c in self.system.get(name, {}) if c in SYSTEM[1:] and c not in own}
+
     def table(self, name: str) -> DataFrame:
+        """The live rows of a table, with its system columns."""
         if name in self._resolved:
             return self._resolved[name]
-        stored = self.overrides.get(name, name)
-        if stored in self.tables:
-            df = self.tables[stored]
-        elif self.path and stored in self.known():
-            df = self.spark.read.parquet(f"{self.path}/{stored}.parquet")
-        elif self.spark.catalog.tableExists(stored):
-            df = self.spark.table(stored)
-        else:
-            raise UnknownTable(name, self.known())
+        df = self.stored(name)
+        own = df.columns
+        if ARCHIVED in own:
+            df = df.where(~F.col(ARCHIVED)).drop(ARCHIVED)
         for column, value in self.system.get(name, {}).items():
-            if column in SYSTEM and column not in df.columns:  # a real field wins
+            if column in SYSTEM and column not in own:  # a real field wins
                 df = df.withColumn(column, value if not isinstance(value, str) else F.col(value))
         self._resolved[name] = df
         return df
+
+    def stored(self, name: str) -> DataFrame:
+        """A table as it is stored, with archived rows and the mark that tells them."""
+        stored = self.overrides.get(name, name)
+        if stored in self.tables:
+            return self.tables[stored]
+        if self.path and stored in self.known():
+            return self.spark.read.parquet(f"{self.path}/{stored}.parquet")
+        if self.spark.catalog.tableExists(stored):
+            return self.spark.table(stored)
+        raise UnknownTable(name, self.known())
