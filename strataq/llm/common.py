@@ -123,19 +123,57 @@ def batch_bytes(column):
         yield data[0:0] if null[k] else data[off[k]: off[k + 1]]
 
 
-#: Bits of a filter of identifiers: at most 131,072 rows of two numbers, whatever the input.
-ID_BITS = 1 << 23
+#: Rows of partial sums that one task adds up; more are added level by level.
+FAN = 32
 
 
-def only_maybe(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose identifier may be in ``ids`` (column id): a bit filter of fixed size is
-    broadcast, so most other rows go before any shuffle. The join that follows decides."""
+def sum_tables(parts: DataFrame, dtype=np.float64) -> dict[int, np.ndarray]:
+    """The sums by piece of a written table of partial ones (piece int, part int, sums binary of ``dtype``), one row for each
+    piece and task. Partial sums meet in a tree of FAN rows a task, so no task reads more than that however many there are;
+    the driver gets one row for each piece."""
     from pyspark.sql import functions as F
 
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(ID_BITS))
-    words = ids.select(bit("id").alias("b")).groupBy(F.expr("b div 64").alias("__w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("__v"))
-    words = stash(df.sparkSession, words, "filter")
-    out = df.withColumn("__b", bit(F.col(id_col))).join(F.broadcast(words), F.expr("__b div 64") == F.col("__w"))
+    def add(batches):
+        import pyarrow as pa
+
+        total: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            for piece, part, sums in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                x = np.frombuffer(sums, dtype)
+                total[piece, part] = total[piece, part] + x if (piece, part) in total else x
+        if total:
+            keys = list(total)
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([total[k].tobytes() for k in keys], pa.binary())], names=["piece", "part", "sums"])
+
+    spark, left = parts.sparkSession, (parts.agg(F.max("part")).first()[0] or 0) + 1
+    while True:
+        left = -(-left // FAN)
+        met = parts.select("piece", F.expr(f"cast(part % {left} as int)").alias("part"), "sums").repartition("piece", "part").sortWithinPartitions("piece", "part")
+        met = met.mapInArrow(add, "piece int, part int, sums binary")
+        if left == 1:
+            return {r.piece: np.frombuffer(r.sums, dtype) for r in met.collect()}
+        parts = stash(spark, met, "sums")
+
+
+#: Bits of a filter of keys: at least, at most (a million rows of two numbers), and for each key.
+LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 18, 1 << 26, 10
+
+
+def only_maybe(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key may be in the written table ``keys`` (column id): a bit filter, sized by the number of
+    keys and broadcast, lets most other rows go before any shuffle. The join that follows decides. A filter at its largest
+    size fills up as keys grow, and is left out where it would prune next to nothing."""
+    from pyspark.sql import functions as F
+
+    n, bits = keys.count(), LEAST_BITS
+    while bits < min(MOST_BITS, BITS_EACH * n):
+        bits *= 2
+    if n > 2 * MOST_BITS:
+        return df
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    rows = keys.select(place("id").alias("b")).groupBy(F.expr("b div 64").alias("__w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("__v"))
+    rows = stash(df.sparkSession, rows, "filter")
+    out = df.withColumn("__b", place(F.col(key))).join(F.broadcast(rows), F.expr("__b div 64") == F.col("__w"))
     return out.where(F.expr("bit_get(__v, cast(__b % 64 as int)) = 1")).drop("__b", "__w", "__v")
 
 

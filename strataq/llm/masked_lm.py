@@ -1,17 +1,20 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every word from two words on each side.
 
-Words are hashed to 64 classes of 64 cells. The hidden layer is tanh of the sum of one learned vector for each
-neighbour's cell and its place; from it come the word's class, and the cell within its class, each on top of
-the log-frequencies of the whole corpus. The word within its cell comes from a vocabulary of all words and their counts:
+Words are hashed to 8,192 cells: a path of three choices, among 16, 16 and 32 (LEVELS). The hidden layer is tanh of the sum of
+one learned vector for each neighbour's cell and its place; from it come the choices of the word's path, each on top of
+log-frequencies of the corpus given the choices before it. The word within its cell comes from a vocabulary of all words and their counts:
 log p(word | neighbours) = log p(cell | neighbours) + log p(word | cell). A document's score is the sum over its words.
 
+Documents are dealt by a hash of identifier and text to blocks of about ``BLOCK`` bytes, whose number follows from the corpus and
+whose order within is fixed. Training goes in synchronous rounds over growing shares of the blocks (ROUNDS), so that every
+word of every document is predicted once. In a round each block trains by itself, from the parameters that the round before ended with; the
+results are averaged by words. So neither the number of tasks nor the layout of the input changes a score, but for
+the order in which floats are added. A task that has several blocks adds up their results; the sums of all tasks
+meet in a tree, and the driver holds one network (2 MB).
+
 The vocabulary holds every distinct word (as a 64-bit hash) and grows with the corpus; it is a written table. Words seen
 once give half a count, and each cell ``FLOOR`` besides, to the rest: what a cell's unseen words have together. To
-score, documents are dealt to blocks of about ``BLOCK`` bytes; each block's distinct words are joined with the vocabulary.
-
-Training covers all documents: each task trains on its texts, every word in its turn as the word to predict,
-from the same start, and the results are averaged by words. Each task gives a table of 1 MB and its words' counts; the
-tables are summed in pieces, and the driver holds one sum and the rest of each cell.
+score, a block's distinct words are joined with the vocabulary and come before its documents.
 
 Nulls: null and empty texts have no words and score 0. Texts are read whole; a document of one word is predicted
 from padding. Repeated rows score alike. Empty tables give empty results. Extra columns are ignored.
@@ -24,23 +27,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import chunks, stash, words_of
-
-CLASSES = WITHIN = 64
-WORDS, HIDDEN, PLACES = CLASSES * WITHIN, 16, (-2, -1, 1, 2)
-BATCH, PIECES = 512, 16
-#: Bytes of text in a block of documents that are scored together; distinct words that a task holds before it gives their counts.
-BLOCK, HELD = 4 << 20, 1 << 20
+from strataq.llm.common import chunks, stash, sum_tables, words_of
+
+LEVELS = (16, 16, 32)
+WORDS, CHOICES, HIDDEN, PLACES = int(np.prod(LEVELS)), sum(LEVELS), 16, (-2, -1, 1, 2)
+BATCH, PIECES = 8192, 16
+#: The largest weight of a choice: no sum of HIDDEN of them overflows.
+LARGEST = 5.0
+#: Bytes of text in a block, and texts worked on at once.
+BLOCK, AT_ONCE = 8 << 20, 1 << 20
+#: Rounds of training, as the sixteenth of the blocks at which each ends.
+ROUNDS = (1, 4, 16)
 FLOOR = 1e-4
-_SHAPES = ((len(PLACES), WORDS + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (HIDDEN, WITHIN))
+_SHAPES = ((len(PLACES), WORDS + 1, HIDDEN), (HIDDEN,), (HIDDEN, CHOICES))
+_ENDS = np.cumsum(LEVELS)
+#: Which choices belong to which level.
+_LEVEL = np.repeat(np.eye(len(LEVELS), dtype=np.float32), LEVELS, axis=0)
 SIZE = sum(int(np.prod(s)) for s in _SHAPES)
 
 
 class Model(tuple):
-    """(params, frequencies), with ``vocab`` (word, logp: log p(word | cell)) and ``rest`` (by cell, of its unseen words)."""
+    """(params, frequencies), with ``vocab`` (word, logp: log p(word | cell)), ``rest`` (by cell, of its unseen words), and of
+    the texts it was fitted to the number of ``blocks`` and ``words`` (block, word)."""
 
     vocab: DataFrame
     rest: np.ndarray
+    blocks: int
+    words: DataFrame
 
 
 def start(seed: int = 3) -> list[np.ndarray]:
@@ -48,11 +61,27 @@ def start(seed: int = 3) -> list[np.ndarray]:
     return [(rng.normal(0, 0.1, s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for s in _SHAPES]
 
 
-def _frequencies(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-frequencies of the classes, and of the words in each class."""
-    c = counts.reshape(CLASSES, WITHIN) + 0.5
-    by = c.sum(1)
-    return np.log(by / by.sum()).astype(np.float32), np.log(c / by[:, None]).astype(np.float32)
+def _split(flat: np.ndarray) -> list[np.ndarray]:
+    at = np.cumsum([0, *(int(np.prod(s)) for s in _SHAPES)])
+    return [flat[a: z].reshape(s).astype(np.float32) for s, a, z in zip(_SHAPES, at[:-1], at[1:], strict=True)]
+
+
+def _frequencies(counts: np.ndarray) -> np.ndarray:
+    """By the first two choices: log-frequencies of all choices, the second given the first, the third given both."""
+    c = counts.reshape(LEVELS) + 0.5
+    given = lambda x: np.log(x / x.sum(-1, keepdims=True))
+    rows = np.empty((*LEVELS[:2], CHOICES), np.float32)
+    rows[..., : _ENDS[0]] = given(c.sum((1, 2)))
+    rows[..., _ENDS[0]: _ENDS[1]] = given(c.sum(2))[:, None]
+    rows[..., _ENDS[1]:] = given(c)
+    return rows.reshape(-1, CHOICES)
+
+
+def _path(cells: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The three choices of each cell, as places among all choices."""
+    first, third = np.divmod(cells, LEVELS[2])
+    first, second = np.divmod(first, LEVELS[1])
+    return first, second + _ENDS[0], third + _ENDS[1]
 
 
 def _windows(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,183 +97,220 @@ def _laid(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return line, at, counts
 
 
-def _lse(x: np.ndarray) -> np.ndarray:
-    top = x.max(1)
-    return np.log(np.exp(x - top[:, None]).sum(1)) + top
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1)[:, None]
-    np.exp(x, out=x)
-    x /= x.sum(1)[:, None]
-    return x
-
-
 def log_probs(params, freq, line: np.ndarray, at: np.ndarray, block: int = 4096) -> np.ndarray:
     """log p of the cells at places ``at``, given their neighbours."""
-    table, bias, to_class, to_word = params
-    by_class, by_word = freq
+    table, bias, weights = params
     out = np.empty(len(at))
     for k in range(0, len(at), block):
         i = at[k: k + block]
-        hid = bias + table[0][line[i + PLACES[0]]]
+        hid = bias + table[0].take(line[i + PLACES[0]], 0)
         for j, place in enumerate(PLACES[1:], 1):
-            hid += table[j][line[i + place]]
+            hid += table[j].take(line[i + place], 0)
         np.tanh(hid, out=hid)
-        c, w = line[i] // WITHIN, line[i] % WITHIN
-        r = np.arange(len(i))
-        s1, s2 = hid @ to_class + by_class, hid @ to_word + by_word[c]
-        out[k: k + block] = s1[r, c] - _lse(s1) + s2[r, w] - _lse(s2)
+        x, r = hid @ weights, np.arange(len(i))
+        x += freq.take(line[i] // LEVELS[2], 0)
+        picked = sum(x[r, c] for c in _path(line[i]))
+        np.exp(x, out=x)
+        out[k: k + block] = picked - np.log(x @ _LEVEL).sum(1)
     return out
 
 
-def train(params, freq, line: np.ndarray, at: np.ndarray, squares, rate: float = 0.05) -> None:
+def train(params, freq, line: np.ndarray, at: np.ndarray, squares, rate: float = 0.08) -> None:
     """One pass of Adagrad over the words at ``at``, in place."""
-    by_class, by_word = freq
     vectors, old = params[0].reshape(-1, HIDDEN), squares[0].reshape(-1, HIDDEN)
     for k in range(0, len(at), BATCH):
         i = at[k: k + BATCH]
         ctx = np.concatenate([line[i + place] + j * (WORDS + 1) for j, place in enumerate(PLACES)]).astype(np.uint16)
-        hid = np.tanh(params[1] + vectors[ctx].reshape(len(PLACES), len(i), HIDDEN).sum(0))
-        c, w = line[i] // WITHIN, line[i] % WITHIN
-        r = np.arange(len(i))
-        g1, g2 = _softmax(hid @ params[2] + by_class), _softmax(hid @ params[3] + by_word[c])
-        g1[r, c] -= 1
-        g2[r, w] -= 1
-        g1, g2 = g1 / np.float32(len(i)), g2 / np.float32(len(i))
-        back = (g1 @ params[2].T + g2 @ params[3].T) * (1 - hid * hid)
-        for p, s, g in ((params[2], squares[2], hid.T @ g1), (params[3], squares[3], hid.T @ g2), (params[1], squares[1], back.sum(0))):
-            s += g * g
-            p -= rate * g / np.sqrt(s + 1e-6)
+        hid = vectors.take(ctx, 0).reshape(len(PLACES), len(i), HIDDEN).sum(0)
+        hid += params[1]
+        np.tanh(hid, out=hid)
+        r, g = np.arange(len(i)), hid @ params[2]
+        g += freq.take(line[i] // LEVELS[2], 0)
+        np.exp(g, out=g)
+        g *= (1 / (g @ _LEVEL)) @ _LEVEL.T
+        for c in _path(line[i]):
+            g[r, c] -= 1
+        g *= np.float32(1 / len(i))
+        back = g @ params[2].T
+        back *= 1 - hid * hid
+        for p, s, x in ((params[2], squares[2], hid.T @ g), (params[1], squares[1], back.sum(0))):
+            s += x * x
+            p -= rate * x / np.sqrt(s + 1e-8)
+        np.clip(params[2], -LARGEST, LARGEST, out=params[2])
         order = np.argsort(ctx, kind="stable")  # equal vectors side by side; a radix sort
         ctx = ctx[order]
         first = np.flatnonzero(np.concatenate(([True], ctx[1:] != ctx[:-1])))
-        rows, g = ctx[first], np.add.reduceat(back[order % len(i)], first, axis=0)
+        rows, g = ctx[first], np.add.reduceat(back.take(order % len(i), 0), first, axis=0)
         q = old[rows] + g * g
         old[rows] = q
-        vectors[rows] -= rate * g / np.sqrt(q + 1e-6)
+        vectors[rows] -= rate * g / np.sqrt(q + 1e-8)
 
 
-def _merged(words: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct words and the sums of their counts."""
-    found, inverse = np.unique(np.concatenate(words), return_inverse=True)
-    return found, np.bincount(inverse, np.concatenate(counts), len(found)).astype(np.int64)
+_LEARNT = pa.schema([("piece", pa.int32()), ("part", pa.int32()), ("sums", pa.binary()), ("block", pa.int64()), ("word", pa.int64()), ("n", pa.int64())])
 
 
-def _words_out(words: np.ndarray, counts: np.ndarray):
-    none = pa.nulls(len(words))
-    return pa.RecordBatch.from_arrays([none.cast(pa.int32()), none.cast(pa.binary()), pa.array(words.view(np.int64)), pa.array(counts)], names=_LEARNT)
+def _words_out(block: int, held: list):
+    """Rows of a block's distinct words and their counts."""
+    words, inverse = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+    n = np.bincount(inverse, np.concatenate([c for _, c in held]), len(words)).astype(np.int64)
+    for k in range(0, len(words), 1 << 17):
+        part = slice(k, k + (1 << 17))
+        m = len(words[part])
+        none = pa.nulls(m, pa.int32())
+        yield pa.RecordBatch.from_arrays([none, none, pa.nulls(m, pa.binary()), pa.array(np.full(m, block)), pa.array(words[part].view(np.int64)), pa.array(n[part])], schema=_LEARNT)
 
 
-_LEARNT = ["piece", "sums", "word", "n"]
+def _by_block(batches):
+    """(block, texts) of rows that come sorted by block, the texts in lists of about AT_ONCE bytes."""
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        cut = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+        for a, z in zip(cut[:-1], cut[1:], strict=True):
+            for texts in chunks([batch.column(1).slice(a, z - a)], AT_ONCE) if z > a else ():
+                yield int(blocks[a]), texts
 
 
-def _learn(seed: int):
-    """Sums of the network in pieces, and rows of words and counts (piece is null)."""
+def _learn(held):
+    """Sums of the networks that each block of a task ends with, in pieces, and each block's words and counts."""
     def run(batches):
-        params, seen, freq = start(seed), np.zeros(WORDS), None
-        squares = [np.zeros_like(p) for p in params]
-        held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for texts in chunks((b.column(0) for b in batches), 2 << 20):
+        from pyspark import TaskContext
+
+        total, seen, words = np.zeros(SIZE), np.zeros(WORDS), 0.0
+        params = squares = own = found = now = freq = None
+
+        def close():
+            nonlocal words
+            n = own.sum()
+            if n:
+                total.__iadd__(np.concatenate([p.reshape(-1) for p in params]) * n)
+                seen.__iadd__(own)
+                words += n
+                yield from _words_out(now, found)
+
+        for block, texts in _by_block(batches):
+            if block != now:
+                if now is not None:
+                    yield from close()
+                params, before = [p.copy() for p in held.value[0]], held.value[1]
+                squares, own, found, now = [np.zeros_like(p) for p in params], np.zeros(WORDS), [], block
             h, counts = words_of(texts, lower=True)
             line, at, _ = _laid(h, counts)
-            if not len(at):
-                continue
-            seen += np.bincount(line[at], minlength=WORDS)
-            freq = _frequencies(seen)
-            train(params, freq, line, at, squares)
-            new = np.unique(h, return_counts=True)
-            held = _merged([held[0], new[0]], [held[1], new[1]])
-            if len(held[0]) > HELD:
-                yield _words_out(*held)
-                held = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        if len(held[0]):
-            yield _words_out(*held)
-        n = seen.sum()
-        if n:
-            flat = np.concatenate([p.reshape(-1) for p in params]) * n
-            none = pa.nulls(PIECES + 1, pa.int64())
-            sums = [x.astype(np.float32).tobytes() for x in np.array_split(flat, PIECES)] + [seen.astype(np.float32).tobytes()]
-            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES + 1), pa.int32()), pa.array(sums, pa.binary()), none, none], names=_LEARNT)
+            if len(at):
+                own += np.bincount(line[at], minlength=WORDS)
+                found.append(np.unique(h, return_counts=True))
+                if len(found) > 15:
+                    u, inverse = np.unique(np.concatenate([w for w, _ in found]), return_inverse=True)
+                    found = [(u, np.bincount(inverse, np.concatenate([c for _, c in found]), len(u)))]
+                freq = _frequencies(before + own)
+                train(params, freq, line, at, squares)
+        if now is not None:
+            yield from close()
+        if words:
+            flat = np.concatenate((total, seen, [words]))
+            sums, n = [x.tobytes() for x in np.array_split(flat, PIECES)], PIECES
+            yield pa.RecordBatch.from_arrays([pa.array(range(n), pa.int32()), pa.array([TaskContext.get().partitionId()] * n, pa.int32()), pa.array(sums, pa.binary()),
+                                              *(pa.nulls(n, pa.int64()) for _ in range(3))], schema=_LEARNT)
 
     return run
 
 
-def _add_up(batches):
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = np.frombuffer(sums, np.float32).astype(np.float64)
-            total[piece] = total[piece] + x if piece in total else x
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["piece", "sums"])
-
-
 def vocabulary(counts: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """Of words and counts: the written table of log p(word | cell), and log p of the rest of each cell."""
     spark = counts.sparkSession
-    words = stash(spark, counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("cell", F.expr(f"cast(word & {WORDS - 1} as int)")), "words")
+    words = stash(spark, counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("cell", F.expr(f"cast(pmod(word, {WORDS}) as int)")), "words")
     cells = stash(spark, words.groupBy("cell").agg(F.sum("n").alias("all"), F.count_if(F.col("n") == 1).alias("once")), "cells")
     rest = np.zeros(WORDS)
     for r in cells.collect():
         rest[r.cell] = np.log((r.once / 2 + FLOOR) / (r["all"] + FLOOR))
     logp = F.log((F.col("n") - F.when(F.col("n") == 1, 0.5).otherwise(0.0)) / (F.col("all") + FLOOR))
-    return stash(spark, words.join(F.broadcast(cells), "cell").select("word", logp.alias("logp")), "vocabulary"), rest
-
-
-def fit(docs: DataFrame, text_col: str = "text", seed: int = 3) -> Model:
-    """The network, averaged over all tasks by their words, and the vocabulary."""
-    parts = stash(docs.sparkSession, docs.select(text_col).mapInArrow(_learn(seed), "piece int, sums binary, word long, n long"), "learnt")
-    pieces = parts.where("piece is not null").select("piece", "sums")
-    rows = pieces.repartition(PIECES + 1, "piece").mapInArrow(_add_up, pieces.schema).collect()
-    sums: dict[int, np.ndarray] = {}
-    for r in rows:
-        x = np.frombuffer(r.sums, np.float64)
-        sums[r.piece] = sums[r.piece] + x if r.piece in sums else x
-    if sums:
-        counts = sums.pop(PIECES)
-        flat, params, k = np.concatenate([sums[j] for j in range(PIECES)]) / counts.sum(), [], 0
-        for s in _SHAPES:
-            n = int(np.prod(s))
-            params.append(flat[k: k + n].reshape(s).astype(np.float32))
-            k += n
-        model = Model((params, _frequencies(counts)))
-    else:
-        model = Model((start(seed), _frequencies(np.zeros(WORDS))))
-    model.vocab, model.rest = vocabulary(parts.where("piece is null").select("word", "n"))
+    return words.join(F.broadcast(cells), "cell").select("word", logp.alias("logp")), rest
+
+
+def _dealt(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+
+
+def _blocks(docs: DataFrame, text_col: str) -> int:
+    return (docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0) // BLOCK + 1
+
+
+def fit(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", seed: int = 3) -> Model:
+    """The network and the vocabulary of a corpus."""
+    spark, blocks = docs.sparkSession, _blocks(docs, text_col)
+    rows, params, counts, learnt, done = _dealt(docs, id_col, text_col, blocks), start(seed), np.zeros(WORDS), [], 0
+    for end in ROUNDS:
+        share = rows.where((F.col("block") % ROUNDS[-1] >= done) & (F.col("block") % ROUNDS[-1] < end)).repartition("block")
+        share = share.sortWithinPartitions("block", F.xxhash64("id", "text"), "id").select("block", "text")
+        held = spark.sparkContext.broadcast((params, counts))
+        parts = stash(spark, share.mapInArrow(_learn(held), "piece int, part int, sums binary, block long, word long, n long"), "learnt")
+        sums = sum_tables(parts.where("piece is not null").select("piece", "part", "sums"))
+        if sums:
+            flat = np.concatenate([sums[k] for k in range(PIECES)])
+            params, counts = _split(flat[:SIZE] / flat[-1]), counts + flat[SIZE:-1]
+        learnt.append(parts.where("piece is null").select("block", "word", "n"))
+        done = end
+    model = Model((params, _frequencies(counts)))
+    words = learnt[0].union(learnt[1]).union(learnt[2])
+    model.vocab, model.rest = vocabulary(words)
+    model.blocks, model.words = blocks, words.select("block", "word")
     return model
 
 
-def _distinct(block: pa.Table) -> pa.Table:
-    """The distinct words of a block of documents."""
-    found = np.unique(np.concatenate([np.unique(words_of(texts, lower=True)[0]) for texts in chunks([block["text"]])]))
-    return pa.table({"block": pa.repeat(block["block"][0], len(found)), "word": found.view(np.int64)})
+def _distinct(batches):
+    """The distinct words of each block."""
+    now, found = None, []
+    for block, texts in _by_block(batches):
+        if block != now and found:
+            yield from (b.select(["block", "word"]) for b in _words_out(now, found))
+            found = []
+        now = block
+        h = np.unique(words_of(texts, lower=True)[0])
+        found.append((h, np.ones(len(h))))
+    if found:
+        yield from (b.select(["block", "word"]) for b in _words_out(now, found))
+
+
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", fitted: bool = False) -> DataFrame:
+    """id, n_words, pll (the sum of log-probabilities) and mean_logprob (null without words). ``fitted``: the documents are
+    those of the fit, whose words are at hand."""
+    spark, blocks = docs.sparkSession, model.blocks if fitted else _blocks(docs, text_col)
+    held, rows = spark.sparkContext.broadcast((*model, model.rest)), _dealt(docs, id_col, text_col, blocks)
+    kind = rows.schema["id"].dataType.simpleString()
+    found = model.words if fitted else rows.repartition("block").sortWithinPartitions("block").select("block", "text").mapInArrow(_distinct, "block long, word long")
+    known = found.join(model.vocab, "word").select("block", F.col("word").alias("word"), "logp", F.lit(None).cast(kind).alias("id"), F.lit(None).cast("string").alias("text"))
 
-
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, n_words, pll (the sum of log-probabilities) and mean_logprob (null without words)."""
-    held = docs.sparkSession.sparkContext.broadcast((*model, model.rest))
-
-    def run(block: pa.Table, known: pa.Table) -> pa.Table:
+    def run(batches):
         params, freq, rest = held.value
-        order = np.argsort(words := known["word"].to_numpy().view(np.uint64))
-        words, logp = words[order], known["logp"].to_numpy()[order]
-        n, pll = [], []
-        for texts in chunks([block["text"]]):
-            h, counts = words_of(texts, lower=True)
-            line, at, _ = _laid(h, counts)
-            own = logp[np.searchsorted(words, h)] if len(h) else np.zeros(0)
-            own = np.where(np.isnan(own), rest[line[at]], own)
-            sums = np.concatenate(([0.0], np.cumsum(log_probs(params, freq, line, at) + own)))
-            ends = np.cumsum(counts)
-            n.extend(counts)
-            pll.extend(sums[ends] - sums[ends - counts])
-        return pa.table({"id": block["id"], "n_words": pa.array(n, pa.int64()), "pll": pa.array(pll, pa.float64())})
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(size // BLOCK + 1)))
-    # every word of a block is in ``known``, with a null where the vocabulary lacks it
-    known = rows.groupBy("block").applyInArrow(_distinct, "block long, word long").join(model.vocab, "word", "left").select("block", "word", "logp")
-    out = rows.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, n_words long, pll double")
+        now, words, logp, got, ready = None, [], [], [], False
+        for batch in batches:
+            blocks, of_word = batch.column(0).to_numpy(), batch.column(2).is_valid().to_numpy(zero_copy_only=False)
+            cut = np.flatnonzero(np.diff(blocks) | np.diff(of_word.astype(np.int8))) + 1
+            for a, z in zip([0, *cut], [*cut, len(blocks)], strict=True):
+                if blocks[a] != now:
+                    now, words, logp, ready = blocks[a], [], [], False
+                part = batch.slice(a, z - a)
+                if of_word[a]:  # a block's words come before its documents
+                    words.append(part.column(1).to_numpy().view(np.uint64))
+                    logp.append(part.column(2).to_numpy())
+                    continue
+                if not ready:
+                    w, p = np.concatenate([np.zeros(0, np.uint64), *words]), np.concatenate([np.zeros(0), *logp])
+                    order = np.argsort(w)
+                    w, p, ready = np.append(w[order], np.uint64(2**64 - 1)), np.append(p[order], np.nan), True
+                n, pll = [], []
+                for texts in chunks([part.column(4)], AT_ONCE):
+                    h, counts = words_of(texts, lower=True)
+                    line, at, _ = _laid(h, counts)
+                    k = np.searchsorted(w, h)
+                    own = np.where(w[k] == h, p[k], np.nan) if len(h) else np.zeros(0)
+                    own = np.where(np.isnan(own), rest[line[at]], own)
+                    sums = np.concatenate(([0.0], np.cumsum(log_probs(params, freq, line, at) + own)))
+                    ends = np.cumsum(counts)
+                    n.extend(counts)
+                    pll.extend(sums[ends] - sums[ends - counts])
+                yield pa.RecordBatch.from_arrays([part.column(3), pa.array(n, pa.int64()), pa.array(pll, pa.float64())], names=["id", "n_words", "pll"])
+
+    none = rows.select("block", F.lit(None).cast("long").alias("word"), F.lit(None).cast("double").alias("logp"), "id", "text")
+    dealt = known.union(none).repartition("block").sortWithinPartitions("block", F.col("logp").isNull())
+    out = dealt.mapInArrow(run, f"id {kind}, n_words long, pll double")
     return out.withColumn("mean_logprob", F.when(F.col("n_words") > 0, F.col("pll") / F.col("n_words")))

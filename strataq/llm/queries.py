@@ -40,7 +40,7 @@ def op4_exact_dedup(spark, d):
 
 def op5_masked_lm(spark, d):
     docs = _read(spark, d, "documents")
-    return masked_lm.score(docs, masked_lm.fit(docs)).withColumnRenamed("id", "doc_id")
+    return masked_lm.score(docs, masked_lm.fit(docs), fitted=True).withColumnRenamed("id", "doc_id")
 
 
 def op6_url_filter(spark, d):

@@ -162,21 +162,83 @@ def test_masked_lm(spark):
     assert got[0].mean_logprob > got[100].mean_logprob and got[101].pll == 0 and got[102].mean_logprob is None and got[103].n_words == 1
     line, at, _ = masked_lm._windows([np.frombuffer(rows[0][1].encode(), np.uint8)])
     one = []
-    (table, bias, c, w), (bc, bw) = model
+    (table, bias, w), freq = model
     for i in at:
         h = np.tanh(bias + sum(table[j][line[i + p]] for j, p in enumerate(masked_lm.PLACES)))
-        s1, s2 = h @ c + bc, h @ w + bw[line[i] // masked_lm.WITHIN]
-        one.append(s1[line[i] // masked_lm.WITHIN] - np.log(np.exp(s1).sum()) + s2[line[i] % masked_lm.WITHIN] - np.log(np.exp(s2).sum()))
+        x, cell = h @ w + freq[line[i] // 32], line[i]
+        one.append(sum(x[c] - np.log(np.exp(x[a:z]).sum()) for c, a, z in zip((cell // 512, 16 + cell // 32 % 16, 32 + cell % 32), (0, 16, 32), (16, 32, 64), strict=True)))
     assert got[0].pll == pytest.approx(sum(one), rel=1e-4)
     assert masked_lm.score(docs(spark, []), masked_lm.fit(docs(spark, []))).count() == 0
 
 
-def test_masked_lm_trains_on_every_word(monkeypatch):
+def test_masked_lm_probabilities_of_all_cells_add_up():
+    rng = np.random.default_rng(2)
+    params = [rng.normal(0, 1, p.shape).astype(np.float32) for p in masked_lm.start()]
+    freq = masked_lm._frequencies(rng.integers(0, 9, masked_lm.WORDS).astype(float))
+    line, at, _ = masked_lm._windows([np.frombuffer(b"a b c d e", np.uint8)])
+    rows = np.tile(line, (masked_lm.WORDS, 1))
+    rows[:, at[2]] = np.arange(masked_lm.WORDS)
+    got = masked_lm.log_probs(params, freq, rows.reshape(-1), np.arange(masked_lm.WORDS) * len(line) + at[2])
+    assert np.exp(got).sum() == pytest.approx(1, rel=1e-4)
+
+
+def test_masked_lm_step_follows_the_slope():
+    """One step of training moves each parameter against the slope of the mean loss, found by small differences."""
+    rng = np.random.default_rng(4)
+    params = [rng.normal(0, 0.3, p.shape) for p in masked_lm.start()]
+    freq = masked_lm._frequencies(rng.integers(0, 5, masked_lm.WORDS).astype(float)).astype(float)
+    line, at, _ = masked_lm._windows([np.frombuffer(t, np.uint8) for t in (b"one two three one two", b"three four")])
+    loss = lambda p: -masked_lm.log_probs(p, freq, line, at).mean()
+    after, squares = [p.copy() for p in params], [np.zeros_like(p) for p in params]
+    masked_lm.train(after, freq, line, at, squares, rate=1e-3)
+    assert loss(after) < loss(params)
+    for k, p in enumerate(params):
+        moved = np.argwhere(np.abs(after[k] - p) > 0)
+        for at_ in map(tuple, moved[rng.permutation(len(moved))[:25]]):
+            more, less = [q.copy() for q in params], [q.copy() for q in params]
+            more[k][at_] += 1e-5
+            less[k][at_] -= 1e-5
+            slope = (loss(more) - loss(less)) / 2e-5
+            assert squares[k][at_] == pytest.approx(slope * slope, rel=1e-2, abs=1e-9) and (after[k][at_] < p[at_]) == (slope > 0)
+
+
+def test_masked_lm_trains_on_every_word(spark, monkeypatch):
+    """Every word of every document is a target once, whatever the blocks."""
     texts, seen = ["one", None, "two words", "a b c", "", "the cat sat on the mat"], []
     monkeypatch.setattr(masked_lm, "train", lambda params, freq, line, at, squares: seen.extend(line[at]))
-    list(masked_lm._learn(3)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["text"])])))
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    held = type("B", (), {"value": (masked_lm.start(), np.zeros(masked_lm.WORDS))})()
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 0, 0, 1, 2, 2]), pa.array(texts, pa.string())], names=["block", "text"])
+    out = pa.Table.from_batches(masked_lm._learn(held)(iter([batch]))).to_pylist()
     line, at, _ = masked_lm._windows([np.frombuffer((t or "").encode(), np.uint8) for t in texts])
     assert len(at) == 12 and sorted(seen) == sorted(line[at])
+    assert sum(r["n"] for r in out if r["word"] is not None) == 12 and {r["block"] for r in out if r["word"] is not None} == {0, 1, 2}
+    assert np.frombuffer(next(r["sums"] for r in out if r["piece"] == masked_lm.PIECES - 1))[-1] == 12
+
+
+def test_masked_lm_scores_do_not_depend_on_layout(spark, monkeypatch):
+    monkeypatch.setattr(masked_lm, "BLOCK", 40_000)
+    table, scores = spark.read.parquet(f"{DATA}/documents.parquet"), []
+    for n in (1, 4, 8):
+        dealt = table.repartition(n)
+        model = masked_lm.fit(dealt)
+        assert model.blocks > 8
+        scores.append({r.id: r.pll for r in masked_lm.score(dealt, model, fitted=n > 1).collect()})
+    assert scores[0].keys() == scores[1].keys() and all(scores[0][k] == pytest.approx(s[k], rel=1e-3, abs=1e-6) for s in scores[1:] for k in s)
+
+
+def test_masked_lm_beats_a_unigram_on_other_texts(spark, monkeypatch):
+    """Over the same cells and vocabulary, on documents that it wasn't fitted to."""
+    from pyspark.sql import functions as F
+
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    part = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = masked_lm.fit(table.where(part > 0))
+    plain = masked_lm.Model(([np.zeros_like(p) for p in model[0]], model[1]))
+    plain.vocab, plain.rest = model.vocab, model.rest
+    other = table.where(part == 0)
+    sums = [masked_lm.score(other, m).agg(F.sum("pll"), F.sum("n_words")).first() for m in (model, plain)]
+    assert sums[0][1] == sums[1][1] > 10_000 and sums[0][0] / sums[0][1] > sums[1][0] / sums[1][1] + 0.02
 
 
 def test_masked_lm_scores_words_that_share_a_cell(spark):
