@@ -163,18 +163,25 @@ def only_maybe(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key may be in the written table ``keys`` (column id): a bit filter, sized by the number of
     keys and broadcast, lets most other rows go before any shuffle. The join that follows decides. A filter at its largest
     size fills up as keys grow, and is left out where it would prune next to nothing."""
+    return split_maybe(df, key, keys)[0]
+
+
+def split_maybe(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Like ``only_maybe``; and the other rows, whose key is surely not there."""
     from pyspark.sql import functions as F
 
     n, bits = keys.count(), LEAST_BITS
     while bits < min(MOST_BITS, BITS_EACH * n):
         bits *= 2
     if n > 2 * MOST_BITS:
-        return df
+        return df, df.limit(0)
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     rows = keys.select(place("id").alias("b")).groupBy(F.expr("b div 64").alias("__w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("__v"))
     rows = stash(df.sparkSession, rows, "filter")
-    out = df.withColumn("__b", place(F.col(key))).join(F.broadcast(rows), F.expr("__b div 64") == F.col("__w"))
-    return out.where(F.expr("bit_get(__v, cast(__b % 64 as int)) = 1")).drop("__b", "__w", "__v")
+    marked, on, bit = df.withColumn("__b", place(F.col(key))), F.expr("__b div 64") == F.col("__w"), "bit_get(__v, cast(__b % 64 as int))"
+    some = marked.join(F.broadcast(rows), on).where(F.expr(f"{bit} = 1"))
+    rest = marked.join(F.broadcast(rows), on, "left").where(F.expr(f"coalesce({bit}, 0) = 0"))
+    return some.drop("__b", "__w", "__v"), rest.drop("__b", "__w", "__v")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:

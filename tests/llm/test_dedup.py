@@ -42,6 +42,57 @@ def test_drop_copies(spark):
     assert exact_dedup.drop_copies(frame(spark, [])).count() == 0
 
 
+def plain_index(rows):
+    """digest: n, least, most, by brute force."""
+    out = {}
+    for i, t in rows:
+        d = hashlib.sha256((t or "").encode()).digest()
+        n, lo, hi = out.get(d, (0, None, None))
+        out[d] = (n + 1, i if lo is None else lo if i is None else min(lo, i), i if hi is None else hi if i is None else max(hi, i))
+    return out
+
+
+def state(index):
+    return {bytes(r.digest): (r.n, r.least, r.most) for r in index.merged().collect()}
+
+
+def test_index_append_equals_rebuild(spark):
+    """Batches go into runs that are merged level by level; the outcome is that of one build over all rows."""
+    rng = random.Random(6)
+    batches = [[(rng.randrange(500), f"text {rng.randrange(60)}") for _ in range(n)] for n in (40, 1, 90, 0, 25, 60)] + [EDGES]
+    index, every = exact_dedup.DigestIndex(spark, memtable_rows=8, fanout=3), []
+    for rows in batches:
+        index.append(exact_dedup.digests_of(frame(spark, rows)))
+        every += rows
+        assert all(sum(len(x.runs) for x in index.levels if x.depth == d) < 3 for d in {x.depth for x in index.levels})
+        got = {bytes(r.digest): (r.n, r.least, r.most) for r in index.lookup(exact_dedup.digests_of(frame(spark, every))).collect()}
+        assert got == plain_index(every)
+    assert max(x.depth for x in index.levels) > 1 and len(index.slots) == len(batches)
+    assert len({r.slot for x in index.slots for r in x.collect()}) == len(every)
+    built = exact_dedup.build_index(frame(spark, every), memtable_rows=1000)
+    assert state(index) == state(built) == plain_index(every) and len(index.levels) == 1 and len(index.levels[0].runs) == 1
+    empty = exact_dedup.build_index(frame(spark, []))
+    assert empty.merged() is None and empty.lookup(exact_dedup.digests_of(frame(spark, every))).count() == 0
+
+
+def test_runs_are_sorted_and_filters_skip_them(spark):
+    rows = [(k, f"text {k}") for k in range(400)]
+    index = exact_dedup.DigestIndex(spark, memtable_rows=16, fanout=1000).append(exact_dedup.digests_of(frame(spark, rows)))
+    [level] = index.levels
+    assert len(level.runs) >= 25 and level.bits >= 10 * 16
+    asked = exact_dedup.digests_of(frame(spark, rows[:10] + [(9000 + k, f"another {k}") for k in range(300)]))
+    visits = index.visits(asked, level).collect()
+    own = {bytes(r.digest): r.run for r in level.rows.collect()}
+    met = [(r.run, bytes(r.digest)) for r in visits]
+    assert all((own[hashlib.sha256(t.encode()).digest()], hashlib.sha256(t.encode()).digest()) in met for _, t in rows[:10])
+    assert len(met) < 10 + 0.02 * 300 * len(level.runs)  # of all pairs of a digest and a run, few beyond the true ones
+    merged = exact_dedup.DigestIndex(spark, memtable_rows=16, fanout=4).append(exact_dedup.digests_of(frame(spark, rows)))
+    for x in merged.levels:
+        for r in x.runs:
+            for part in x.rows.where(f"run = {r}").select("digest").rdd.glom().map(lambda p: [bytes(q.digest) for q in p]).collect():
+                assert part == sorted(part)
+
+
 def near(seed=1):
     rng = random.Random(seed)
     words = [f"w{k}" for k in range(400)]
