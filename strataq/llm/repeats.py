@@ -7,13 +7,17 @@ identifier and position; ``keep="none"`` removes all that match anything.
 
 Suffixes that can match are brought together by anchors: the least hash of a 32-byte gram within a window is chosen
 by its content alone, so equal windows have equal anchors at equal offsets. Adjacent starts with one
-anchor form a run, whose context is the bytes that its windows cover. Equal contexts are counted, with
-map-side aggregation; only anchors with several contexts have one copy of each sorted, in batches of a bounded number of
-windows. Anchors with more than ``most`` contexts are spread by the hash of each window instead.
+anchor form a run, whose context is the bytes that its windows cover. Runs with one context (one 128-bit digest of these bytes)
+are counted, with map-side aggregation, and two of them stand for all: the first, and the last as its twin. The arrays are
+computed over the first runs and twins of all contexts of an anchor, in batches of a bounded number of windows, and
+what they find is removed: a context's other runs take over what is found for its twin, and are never compared by a weaker hash. Contexts of
+an anchor with more than ``most`` of them meet by the 128-bit digest of each window instead; of the windows of one digest
+the first and the last go through the arrays, and the others take over what these find.
 
 Nulls: null and empty texts have no bytes and nothing is removed; texts shorter than ``length`` stay whole. Null
 identifiers come last in the order and are kept apart by their text. Repeated rows repeat each other's windows. Empty
-tables give empty results. Extra columns are ignored. Texts are read whole, up to 256 MB each.
+tables give empty results. Extra columns are ignored. Texts are read whole; long ones are hashed in overlapping pieces of
+``PIECE`` bytes, so that a task needs a few times a text's own size.
 """
 
 from __future__ import annotations
@@ -23,12 +27,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import batch_bytes, chunks, mix64, only_maybe, stash
+from strataq.llm.common import batch_bytes, mix64, only_maybe, stash
 
 GRAM, POSITION_BITS = 32, 28
+#: Starts of a text that are hashed together, and bytes of several texts that are.
+PIECE, AT_ONCE = 1 << 20, 1 << 18
 #: Windows sorted at once.
 SORTED = 8192
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -51,13 +57,11 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def runs_of(texts: list[np.ndarray], length: int):
-    """Of several texts: for each run its text, first start, number of starts, offset of the anchor, anchor and context."""
+    """Of several texts: for each run its text, first start, number of starts, offset of the anchor, anchor and context digest."""
     sizes = np.array([len(t) for t in texts], np.int64)
     b = np.concatenate(texts) if texts else np.zeros(0, np.uint8)
     if len(b) < length:
         return None
-    if len(b) >= 1 << POSITION_BITS:
-        raise ValueError("a text is longer than 256 MB")
     up, down = _powers(1 << max(19, int(len(b)).bit_length()))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[: len(b)])))
     grams = mix64((sums[GRAM:] - sums[:-GRAM]) * down[: len(b) - GRAM + 1])
@@ -76,8 +80,9 @@ def runs_of(texts: list[np.ndarray], length: int):
     following = np.concatenate((first[1:], [len(anchor)]))
     n = total[following] - total[first]
     off = anchor[first] - first
-    end = first + n - 1 + length
-    ctx = mix64((sums[end] - sums[first]) * down[first] + n.astype(np.uint64) * np.uint64(1009) + off.astype(np.uint64))
+    data = memoryview(b)
+    ctx = [hashlib.blake2b(data[p: q], digest_size=16, salt=o).digest()
+           for p, q, o in zip(first.tolist(), (first + n - 1 + length).tolist(), (int(x).to_bytes(8, "little") for x in off), strict=True)]
     own = owner[first]
     return own, first - (ends - sizes)[own], n, off, mix64(grams[anchor[first]]), ctx
 
@@ -89,35 +94,64 @@ def _slices(batches, rows: int = 256):
             yield batch.slice(k, rows)
 
 
+def _pieces(column, length: int):
+    """The texts of an Arrow column in lists of about AT_ONCE bytes: (row, first byte, bytes). Long texts come in pieces that
+    share length - 1 bytes, so that every start is in exactly one."""
+    held, size = [], 0
+    for row, b in enumerate(batch_bytes(column)):
+        for at in range(0, max(1, len(b) - length + 1), PIECE):
+            held.append((row, at, b[at: at + PIECE + length - 1]))
+            size += len(held[-1][2])
+            if size >= AT_ONCE:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+_RUNS = "id long, k long, p long, n int, off int, anchor long, ctx binary"
+
+
 def _emit_runs(length: int):
     def run(batches):
         for batch in batches:
-            ids, keys, base = batch.column(0), batch.column(1), 0
-            for texts in chunks([batch.column(2)], 1 << 18):
-                if (r := runs_of(texts, length)) is not None:
+            ids, keys = batch.column(0), batch.column(1)
+            for held in _pieces(batch.column(2), length):
+                if (r := runs_of([b for _, _, b in held], length)) is not None:
                     own, p, n, off, anchor, ctx = r
-                    take = pa.array(own + base)
+                    take = pa.array(np.array([row for row, _, _ in held])[own])
+                    p = p + np.array([at for _, at, _ in held])[own]
                     yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), pa.array(p, pa.int64()), pa.array(n.astype(np.int32)), pa.array(off.astype(np.int32)),
-                                                      pa.array(anchor.view(np.int64)), pa.array(ctx.view(np.int64))], names=["id", "k", "p", "n", "off", "anchor", "ctx"])
-                base += len(texts)
+                                                      pa.array(anchor.view(np.int64)), pa.array(ctx, pa.binary())], names=["id", "k", "p", "n", "off", "anchor", "ctx"])
 
     return run
 
 
+#: The bytes of a run that stands for its context: the first (copy 0) or its twin (copy 1), with its place in the order.
+_CUT = "anchor long, ctx binary, copy int, off int, n int, o long, p long, k long, bytes binary"
+_CUT_ARROW = pa.schema([("anchor", pa.int64()), ("ctx", pa.binary()), ("copy", pa.int32()), ("off", pa.int32()), ("n", pa.int32()), ("o", pa.int64()), ("p", pa.int64()), ("k", pa.int64()), ("bytes", pa.binary())])
+
+
 def _cut(length: int):
     """The bytes of chosen runs of each text."""
     def run(batches):
         for batch in _slices(batches):
             rows = []
-            for b, picks in zip(batch_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                rows += [(r["anchor"], r["ctx"], r["off"], r["n"], r["rank"], b[r["p"]: r["p"] + r["n"] - 1 + length].tobytes()) for r in picks]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()), strict=True)],
-                                                 names=["anchor", "ctx", "off", "n", "rank", "bytes"])
+            for b, key, picks in zip(batch_bytes(batch.column(0)), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                rows += [(r["anchor"], r["ctx"], r["copy"], r["off"], r["n"], r["o"], r["p"], key, b[r["p"]: r["p"] + r["n"] - 1 + length].tobytes()) for r in picks]
+            for k in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[k: k + 10_000], strict=True), _CUT_ARROW, strict=True)], schema=_CUT_ARROW)
 
     return run
 
 
+def _slices(batches, rows: int = 256):
+    """Batches of few rows, so that the Python objects made of a batch stay few, however long its lists are."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def _smaller(place: np.ndarray, lcp: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """For each suffix in order, with the text positions ``place`` and the prefix ``lcp`` shared with the suffix before:
     the previous one of a smaller position and the prefix shared with it; -1 and 0 where that is shorter than ``least``.
@@ -172,11 +206,12 @@ def _spans(hit: np.ndarray) -> list[int]:
     return edge.tolist()
 
 
-_FOUND = "anchor long, ctx long, other array<int>, earlier array<int>"
+_FOUND = "anchor long, ctx binary, copy int, other array<int>, earlier array<int>"
+_FOUND_ARROW = pa.schema([("anchor", pa.int64()), ("ctx", pa.binary()), ("copy", pa.int32()), ("other", pa.list_(pa.int32())), ("earlier", pa.list_(pa.int32()))])
 
 
 def _sort_groups(length: int):
-    """Contexts sorted by anchor: windows of whole groups, or of offsets of a large group, are matched together."""
+    """Contexts sorted by anchor and place: windows of whole groups, or of offsets of a large group, are matched together."""
     def run(batches):
         held, windows = [], 0  # contexts of whole groups
         group, group_windows, key = [], 0, None
@@ -184,10 +219,10 @@ def _sort_groups(length: int):
         def match(rows):
             if not rows:
                 return
-            buffer = np.frombuffer(b"".join(r[5] for r in rows), np.uint8)
-            base = np.concatenate(([0], np.cumsum([len(r[5]) for r in rows])[:-1]))
-            off, n = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
-            rank = np.array([r[4] for r in rows], np.int64)
+            buffer = np.frombuffer(b"".join(r[8] for r in rows), np.uint8)
+            base = np.concatenate(([0], np.cumsum([len(r[8]) for r in rows])[:-1]))
+            off, n = np.array([r[3] for r in rows], np.int64), np.array([r[4] for r in rows], np.int64)
+            rank = np.arange(len(rows))  # those that can match, of one anchor, come in the order of their places
             if n.sum() <= 2 * SORTED:
                 which = np.repeat(np.arange(len(rows)), n)
                 s = np.arange(n.sum()) - np.repeat(np.concatenate(([0], np.cumsum(n)[:-1])), n)
@@ -205,14 +240,13 @@ def _sort_groups(length: int):
                 if len(s):
                     o, e = match_windows(buffer, base[which] + s, rank[which], length)
                     flat_o[at[which] + s], flat_e[at[which] + s] = o, e
-            out = [(r[0], r[1], _spans(flat_o[at[k]: at[k + 1]]), _spans(flat_e[at[k]: at[k + 1]])) for k, r in enumerate(rows) if flat_o[at[k]: at[k + 1]].any()]
+            out = [(*r[:3], _spans(flat_o[at[k]: at[k + 1]]), _spans(flat_e[at[k]: at[k + 1]])) for k, r in enumerate(rows) if flat_o[at[k]: at[k + 1]].any()]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())), strict=True)],
-                                                 names=["anchor", "ctx", "other", "earlier"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _FOUND_ARROW, strict=True)], schema=_FOUND_ARROW)
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if group and row[:2] == group[-1][:2] and row[0] == key:
+                if group and row[:3] == group[-1][:3]:
                     continue  # the same run of a repeated row
                 if row[0] != key:
                     held += group
@@ -222,7 +256,7 @@ def _sort_groups(length: int):
                         yield from match(held)
                         held, windows = [], 0
                 group.append(row)
-                group_windows += row[3]
+                group_windows += row[4]
                 if group_windows >= SORTED and held:
                     yield from match(held)
                     held, windows = [], 0
@@ -231,15 +265,58 @@ def _sort_groups(length: int):
     return run
 
 
+_EACH = "anchor long, ctx binary, copy int, o long, p long, k long, s int, w binary"
+_EACH_ARROW = pa.schema([*(_CUT_ARROW.field(c) for c in ("anchor", "ctx", "copy", "o", "p", "k")), ("s", pa.int32()), ("w", pa.binary())])
+
+
 def _each_window(length: int):
+    """The digest of each window of a context."""
     def run(batches):
         for batch in batches:
             rows = []
-            for anchor, ctx, _, n, rank, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows += [(anchor, ctx, rank, s, hashlib.blake2b(data[s: s + length], digest_size=16).digest()) for s in range(n)]
-            for k in range(0, len(rows), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k: k + 20_000], strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)],
-                                                 names=["anchor", "ctx", "rank", "s", "w"])
+            for anchor, ctx, copy, _, n, o, p, key, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                rows += [(anchor, ctx, copy, o, p, key, s, hashlib.blake2b(data[s: s + length], digest_size=16).digest()) for s in range(n)]
+                if len(rows) >= 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _EACH_ARROW, strict=True)], schema=_EACH_ARROW)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _EACH_ARROW, strict=True)], schema=_EACH_ARROW)
+
+    return run
+
+
+def _windows_at(length: int):
+    """The bytes of chosen windows of a context: w, last (0 for the first of a digest), bytes."""
+    def run(batches):
+        for batch in _slices(batches):
+            rows = [(x["w"], x["last"], data[x["s"]: x["s"] + length]) for data, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x in at]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.binary(), pa.int32(), pa.binary()), strict=True)], names=["w", "last", "bytes"])
+
+    return run
+
+
+def _confirm(length: int):
+    """Of the first and the last window of each digest, sorted so: the digests whose last window the arrays match with the first."""
+    def run(batches):
+        held: dict = {}
+
+        def close(done):
+            rows = [(w, *done[w]) for w in done if None not in done[w]]
+            windows = np.frombuffer(b"".join(x for _, a, z in rows for x in (a, z)), np.uint8).reshape(-1, length)
+            factor, source = longest_previous_factors(windows, length)
+            sure = [rows[k // 2][0] for k in range(1, len(windows), 2) if factor[k] >= length and (windows[source[k]] == windows[k - 1]).all()]
+            return pa.RecordBatch.from_arrays([pa.array(sure, pa.binary())], names=["w"])
+
+        for batch in batches:
+            for w, last, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if w not in held and len(held) >= SORTED:
+                    yield close(held)
+                    held = {}
+                pair = held.setdefault(w, [None, None])
+                pair[last] = data
+        if held:
+            yield close(held)
 
     return run
 
@@ -249,20 +326,27 @@ def _merge_starts(name: str, hit):
     return F.flatten(F.transform(starts, lambda s: F.array(s, s + 1))).alias(name)
 
 
+def _union(picks, length: int) -> list[tuple[int, int]]:
+    """The bytes that runs' spans of window starts cover, as sorted intervals that do not touch."""
+    every = np.array([(r["p"] + lo, r["p"] + hi - 1 + length) for r in picks for lo, hi in zip(r["spans"][::2], r["spans"][1::2], strict=True)], np.int64)
+    every = every[np.argsort(every[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(every[:, 1])
+    new = np.concatenate(([True], every[1:, 0] > reach[:-1]))
+    return list(zip(every[new, 0].tolist(), np.maximum.reduceat(every[:, 1], np.flatnonzero(new)).tolist(), strict=True))
+
+
 def _remove(length: int, full_text: bool):
     def run(batches):
         for batch in _slices(batches):
             ids, out = batch.column(0), []
             for b, picks in zip(batch_bytes(batch.column(1)), batch.column(2).to_pylist(), strict=True):
-                mark = np.zeros(len(b) + 1, np.int32)
-                for r in picks:
-                    edges = r["spans"]
-                    for lo, hi in zip(edges[::2], edges[1::2], strict=True):
-                        mark[r["p"] + lo] += 1
-                        mark[r["p"] + hi - 1 + length] -= 1
-                gone = np.cumsum(mark[:-1]) > 0
-                kept = b[~gone].tobytes()
-                out.append((len(b), int(gone.sum()), len(_spans(gone)) // 2, hashlib.sha256(kept).hexdigest(), kept if full_text else None))
+                gone, at, digest, kept = _union(picks, length), 0, hashlib.sha256(), []
+                for lo, hi in [*gone, (len(b), len(b))]:
+                    digest.update(b[at: lo])
+                    if full_text:
+                        kept.append(b[at: lo].tobytes())
+                    at = hi
+                out.append((len(b), sum(hi - lo for lo, hi in gone), len(gone), digest.hexdigest(), b"".join(kept) if full_text else None))
             cols = list(zip(*out, strict=True)) if out else [[]] * 5
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True))],
                                              names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
@@ -277,41 +361,45 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length is at least {2 * GRAM}, and keep is first or none")
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("k", F.xxhash64("text")).select("id", "k", "text")
-    runs = stash(spark, docs.mapInArrow(_emit_runs(length), "id long, k long, p long, n int, off int, anchor long, ctx long"), "runs")
+    runs = stash(spark, docs.mapInArrow(_emit_runs(length), _RUNS), "runs")
     # runs whose anchor occurs once match nothing
     twice = stash(spark, runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("anchor").alias("id")), "anchors")
     runs = stash(spark, only_maybe(runs, "anchor", twice).join(twice.withColumnRenamed("id", "anchor"), "anchor", "left_semi"), "repeated")
-    # the first run of each context stands for it; its rank orders contexts by identifier and position
+    # the first run of each context stands for it, and the last, if there are several, is its twin
     order = F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("o"), "p", "k", "id", "n", "off")
-    contexts = stash(spark, runs.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(order).alias("f")), "contexts")
-    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts")).where("contexts > 1")
-    open_ = stash(spark, contexts.join(several, "anchor").select("anchor", "ctx", "contexts", "f.*"), "open")
-    # texts of a representative run: one list for each text, no longer than the text's own runs
-    rank = F.col("o") if keep == "none" else F.row_number().over(Window.partitionBy("anchor").orderBy("o", "p", "k")).cast("long")
-    picks = open_.withColumn("rank", rank)
-    picks = picks.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "ctx", "p", "n", "off", "rank", "contexts")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
+    contexts = stash(spark, runs.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(order).alias("f"), F.max(order).alias("g")), "contexts")
+    several = contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("contexts"))
+    ends = F.when(F.col("c") > 1, F.array(F.col("f"), F.col("g"))).otherwise(F.array(F.col("f")))
+    picks = contexts.join(several, "anchor").where("contexts > 1 or c > 1").select("anchor", "ctx", "contexts", F.posexplode(ends).alias("copy", "e")).select("anchor", "ctx", "contexts", "copy", "e.*")
+    # texts of a run that stands for others: one list for each text, no longer than the text's own runs
+    picks = picks.groupBy("id", "k").agg(F.collect_list(F.struct("anchor", "ctx", "copy", "p", "n", "off", "o", "contexts")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
     picks = stash(spark, picks, "picks")
     texts = only_maybe(docs, "k", picks.select(F.col("k2").alias("id")))
     same = lambda a, b: F.col("id").eqNullSafe(F.col(a)) & (F.col("k") == F.col(b))
-    cut = texts.join(picks, same("i2", "k2")).select("text", "picks")
-    schema = "anchor long, ctx long, off int, n int, rank long, bytes binary"
-    small = cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] <= most)).mapInArrow(_cut(length), schema)
-    found = small.repartition("anchor").sortWithinPartitions("anchor", "rank", "ctx").mapInArrow(_sort_groups(length), _FOUND)
-    found = stash(spark, found, "found")
+    cut = texts.join(picks, same("i2", "k2")).select("text", "k", "picks")
+    small = cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] <= most)).mapInArrow(_cut(length), _CUT)
+    found = small.repartition("anchor").sortWithinPartitions("anchor", "o", "p", "k", "ctx", "copy").mapInArrow(_sort_groups(length), _FOUND)
+    found = stash(spark, found if keep == "first" else found.where("copy = 0"), "found")
     if not several.where(F.col("contexts") > most).isEmpty():
-        large = cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] > most)).mapInArrow(_cut(length), schema)
-        each = stash(spark, large.mapInArrow(_each_window(length), "anchor long, ctx long, rank long, s int, w binary").dropDuplicates(["anchor", "ctx", "s"]), "windows")
-        by = each.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.min("rank").alias("least")).where("c > 1")
-        hit = each.join(by, "w").groupBy("anchor", "ctx").agg(_merge_starts("other", F.lit(True)), _merge_starts("earlier", F.col("rank") > F.col("least")))
-        found = found.unionByName(stash(spark, hit, "found"))
-    state = contexts.join(found, ["anchor", "ctx"], "left").where("c > 1 or other is not null").select("anchor", "ctx", "c", F.struct("f.o", "f.p", "f.k").alias("f"), "other", "earlier")
-    every = F.array(F.lit(0), F.col("n"))
+        large = stash(spark, cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] > most)).mapInArrow(_cut(length), _CUT), "large")
+        each = stash(spark, large.mapInArrow(_each_window(length), _EACH).dropDuplicates(["anchor", "ctx", "copy", "s"]), "windows")
+        me = F.struct("o", "p", "k", "copy", "s", "anchor", "ctx")
+        by = stash(spark, each.groupBy("w").agg(F.count(F.lit(1)).alias("c"), F.min(me).alias("a"), F.max(me).alias("z")).where("c > 1").drop("c"), "digests")
+        at = by.select("w", F.posexplode(F.array("a", "z")).alias("last", "e")).select("w", "last", "e.*").groupBy("anchor", "ctx", "copy").agg(F.collect_list(F.struct("s", "w", "last")).alias("at"))
+        chosen = large.join(at, ["anchor", "ctx", "copy"]).select("bytes", "at").mapInArrow(_windows_at(length), "w binary, last int, bytes binary")
+        sure = chosen.repartition("w").sortWithinPartitions("w", "last").mapInArrow(_confirm(length), "w binary")
+        hit = each.join(by.join(sure.distinct(), "w").select("w", "a"), "w").withColumn("me", me)
+        hit = hit.groupBy("anchor", "ctx", "copy").agg(_merge_starts("other", F.lit(True)), _merge_starts("earlier", F.col("me") != F.col("a")))
+        found = found.unionByName(stash(spark, hit if keep == "first" else hit.where("copy = 0"), "found"))
     if keep == "none":
-        spans = F.when(F.col("c") > 1, every).otherwise(F.col("other"))
-    else:
-        spans = F.when(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("o"), "p", "k") == F.col("f"), F.coalesce("earlier", F.array().cast("array<int>"))).otherwise(every)
+        state, spans = found.select("anchor", "ctx", "other"), F.col("other")
+    else:  # a context's first run loses what is earlier elsewhere, all others what the twin loses
+        one, two = (found.where(F.col("copy") == j).select("anchor", "ctx", F.col("earlier").alias(c)) for j, c in enumerate(("first", "others")))
+        state = stash(spark, contexts.select("anchor", "ctx", F.struct("f.o", "f.p", "f.k").alias("f")).join(one.join(two, ["anchor", "ctx"], "full"), ["anchor", "ctx"]), "state")
+        spans = F.when(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("o"), "p", "k") == F.col("f"), F.col("first")).otherwise(F.col("others"))
     marked = runs.join(state, ["anchor", "ctx"]).select("id", "k", "p", spans.alias("spans")).where("size(spans) > 0")
-    marked = marked.groupBy("id", "k").agg(F.collect_list(F.struct("p", "spans")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
+    # a set: repeated rows have the same spans
+    marked = marked.groupBy("id", "k").agg(F.collect_set(F.struct("p", "spans")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
     marked = stash(spark, marked, "marked")
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     changed = only_maybe(docs, "k", marked.select(F.col("k2").alias("id"))).join(marked, same("i2", "k2")).select("id", "text", "picks").mapInArrow(_remove(length, with_text), out)
