@@ -10,6 +10,10 @@ turned into other names of the same gender and script; other names are permuted
 until the result is in no list, and Cyrillic surnames keep the ending that shows the gender. A surname has one
 surrogate after every title and given name.
 
+Names are found by titles, by given names of the lists (``names``, by gender and script, is an input), and where a text says
+that a name follows ("my name is", "Name:", in four languages). Every pattern reads a text in linear time: none starts within a run
+that it could have started at, and all counts are bounded.
+
 Collisions are checked for each entity where it is replaced: the surrogate is turned back with the key and must give the
 entity, which no two entities of one surrogate can. ``collisions`` verifies the same over a whole table by comparison.
 
@@ -37,31 +41,45 @@ NAMES = {
     ("m", "cyrillic"): "Иван Пётр Алексей Дмитрий Сергей Андрей Николай Михаил Борис Павел".split(),
     ("f", "cyrillic"): "Анна Мария Елена Ольга Наталья Татьяна Ирина Светлана Вера Нина".split(),
 }
-TITLES = {"m": "Mr|Herr|Señor|Monsieur|Господин", "f": "Mrs|Ms|Miss|Frau|Señora|Madame|Госпожа"}
-
-_LISTED = {n: (kind, k) for kind, names in NAMES.items() for k, n in enumerate(names)}
-_WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]+"
-_GIVEN = "|".join(sorted(_LISTED, key=len, reverse=True))
-PATTERN = re.compile(
-    r"(?P<email>[\w.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
-    r"|(?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
-    r"|(?P<secret>(?<![^\W_])(?i:password|passwd|pwd|secret|token|api[_-]?key)[\"']?\s*[=:]\s*[\"']?)(?P<value>[^\s\"']{6,})"
-    r"|(?P<ip>(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9]))"
-    r"|(?P<phone>(?<![\w+])(?P<cc>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
-    r"|(?P<intl>(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9]))"
-    r"|(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))"
-    r"|(?P<card>(?<![0-9.])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"
-    rf"|\b(?P<title>(?:{TITLES['m']}|{TITLES['f']})\.? )(?P<name>{_WORD}(?: {_WORD})?)"
-    rf"|\b(?P<given>{_GIVEN}) (?P<surname>{_WORD})")
-
-#: A text without any of these has no entity, and is passed on unread by the pattern.
-_HINT = re.compile(rf"[@\d]|(?i:password|passwd|pwd|secret|token|api[_-]?key)|{TITLES['m']}|{TITLES['f']}|\b(?:{_GIVEN})\b")
+TITLES = {"m": "Mr|Herr|Herrn|Señor|Monsieur|Господин|Господина", "f": "Mrs|Ms|Miss|Frau|Señora|Señorita|Madame|Mademoiselle|Госпожа", "": "Dr|Prof|Professor|Доктор|Профессор"}
+#: What a name follows.
+CUES = r"(?i:my name is|i am called|mein name ist|ich heiße|je m'appelle|mon nom est|me llamo|mi nombre es|меня зовут|(?:full |first |last |contact )?name ?[:=]|имя ?[:=])"
+
+_WORD = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё]{1,40}(?![a-zß-öø-ÿа-яё])"
+_SECRET = r"password|passwd|pwd|secret|token|api[_-]?key"
+
+
+class Names:
+    """Given names by gender and script, and the patterns that find them and everything else."""
+
+    def __init__(self, names: dict[tuple[str, str], list[str]]):
+        self.names = {kind: list(dict.fromkeys(x)) for kind, x in names.items()}
+        self.listed = {n: (kind, k) for kind, x in self.names.items() for k, n in enumerate(x)}
+        if len(self.listed) < sum(map(len, self.names.values())) or any(len(x) == 1 for x in self.names.values()):
+            raise ValueError("a name is in one list, and a list has several names")
+        titles, given = "|".join(TITLES.values()), "|".join(map(re.escape, sorted(self.listed, key=len, reverse=True))) or "(?!)"
+        self.pattern = re.compile(
+            r"(?P<email>(?<![\w.+-])[\w.+-]++@(?:[A-Za-z0-9-]{1,63}\.){1,20}[A-Za-z]{2,24}(?![A-Za-z0-9-]))"
+            r"|(?P<key>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b)"
+            rf"|(?P<secret>(?<![^\W_])(?i:{_SECRET})[\"']?\s{{0,20}}[=:]\s{{0,20}}[\"']?)(?P<value>[^\s\"']{{6,}})"
+            r"|(?P<ip>(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?![0-9]|\.[0-9]))"
+            r"|(?P<phone>(?<![\w+])(?P<cc>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9]))"
+            r"|(?P<intl>(?<![\w+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9]))"
+            r"|(?P<ssn>(?<![0-9])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]))"
+            r"|(?P<card>(?<![0-9.])(?:[0-9][ -]?){12,18}[0-9](?![0-9]))"
+            rf"|\b(?P<title>(?:(?:{titles})\.? ){{1,3}}|{CUES} ?)(?P<name>{_WORD}(?: {_WORD})?)"
+            rf"|\b(?P<given>{given}) (?P<surname>{_WORD})")
+        #: A text without any of these has no entity, and is passed on unread by the pattern.
+        self.hint = re.compile(rf"[@\d]|(?i:{_SECRET})|{titles}|{CUES}|\b(?:{given})\b")
+
+
+_OWN = Names(NAMES)
 
 _ALPHABETS = ["0123456789", "aeiouy", "bcdfghjklmnpqrstvwxz", "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "àáâãäåèéêëìíîïòóôõöùúûü", "çñ"]
 _PLACE = {c: (a, k) for a in _ALPHABETS for k, c in enumerate(a)}
 _HEX = "0123456789abcdef"
-# Endings of surnames that show a gender.
-_ENDING = re.compile(r"(?<=..)(?:ова|ева|ина|ов|ев|ин|ий|ая)$")
+# Endings of names that show a gender.
+_ENDING = re.compile(r"(?<=..)(?:ова|ева|ина|ов|ев|ин|ий|ая|а|я|a|o)$")
 
 
 def _noise(key: bytes, tweak: str, rnd: int, values, n: int) -> list[int]:
@@ -122,15 +140,20 @@ def _card(text: str, key: bytes, back: bool) -> str:
     return "".join(out)
 
 
-def _name(word: str, key: bytes, back: bool) -> str:
-    """A listed name turns into another of its list; others are permuted until they are in no list."""
-    if word in _LISTED:
-        (kind, k), names = _LISTED[word], NAMES[_LISTED[word][0]]
+def _stem(word: str) -> int:
+    """Where the ending begins."""
+    return m.start() if (m := _ENDING.search(word)) else len(word)
+
+
+def _name(word: str, key: bytes, back: bool, names: Names = _OWN) -> str:
+    """A listed name turns into another of its list; others are permuted, but for an ending that shows the gender, until they are
+    in no list."""
+    if word in names.listed:
+        (kind, k), names = names.listed[word], names.names[names.listed[word][0]]
         order = sorted(range(len(names)), key=lambda j: hashlib.blake2b(f"{kind}/{names[j]}".encode(), key=key).digest())
         return names[order[(order.index(k) + (-1 if back else 1)) % len(order)]]  # a cycle over the whole list: one-to-one, never itself
-    end = m.start() if (m := _ENDING.search(word)) else len(word)
-    out = word
-    while out == word or out in _LISTED:
+    end, out = _stem(word), word
+    while out == word or out in names.listed or _stem(out) != end:
         now = _symbols(out[:end], key, "name", back=back) + out[end:]
         if now in (out, word):  # no known symbol, or all others are listed
             return word
@@ -151,7 +174,7 @@ def _value(text: str, key: bytes, back: bool) -> str:
             return out
 
 
-def _turned(kind: str, text: str, key: bytes, back: bool) -> str:
+def _turned(kind: str, text: str, key: bytes, back: bool, names: Names = _OWN) -> str:
     """The surrogate of one entity, or the entity of a surrogate."""
     if kind == "email":
         rest, _, top = text.rpartition(".")
@@ -161,7 +184,7 @@ def _turned(kind: str, text: str, key: bytes, back: bool) -> str:
     if kind == "card":
         return _card(text, key, back)
     if kind == "name":
-        return _name(text, key, back)
+        return _name(text, key, back, names)
     if kind == "key":
         return text[:4] + _symbols(text[4:], key, "key", back=back)
     if kind == "value":
@@ -174,29 +197,29 @@ def _turned(kind: str, text: str, key: bytes, back: bool) -> str:
 
 
 @functools.lru_cache(200_000)
-def surrogate(kind: str, text: str, key: bytes) -> str:
+def surrogate(kind: str, text: str, key: bytes, names: Names = _OWN) -> str:
     """The surrogate of one entity (of one word, for names), checked to stand for this entity alone."""
-    out = _turned(kind, text, key, False)
-    if _turned(kind, out, key, True) != text:
+    out = _turned(kind, text, key, False, names)
+    if _turned(kind, out, key, True, names) != text:
         raise ValueError(f"the surrogate of this {kind} also stands for another")
     return out
 
 
-def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str, int]]]:
+def replace(text: str, key: bytes, names: Names = _OWN) -> tuple[str, list[tuple[str, str, str, int]]]:
     """The text with surrogates, and (type, entity, surrogate, start in the input) of each."""
-    if not _HINT.search(text):
+    if not names.hint.search(text):
         return text, []
     out, found, end = [], [], 0
-    for m in PATTERN.finditer(text):
+    for m in names.pattern.finditer(text):
         if m["email"] is None and m["title"]:
-            new, kind = m["title"] + " ".join(surrogate("name", w, key) for w in m["name"].split(" ")), "name"
+            new, kind = m["title"] + " ".join(surrogate("name", w, key, names) for w in m["name"].split(" ")), "name"
         elif m["given"]:
-            new, kind = surrogate("name", m["given"], key) + " " + surrogate("name", m["surname"], key), "name"
+            new, kind = surrogate("name", m["given"], key, names) + " " + surrogate("name", m["surname"], key, names), "name"
         elif m["secret"]:
-            new, kind = m["secret"] + surrogate("value", m["value"], key), "secret"
+            new, kind = m["secret"] + surrogate("value", m["value"], key, names), "secret"
         else:
             kind = next(k for k in ("email", "key", "ip", "phone", "intl", "ssn", "card") if m[k])
-            new = surrogate(kind, m[0], key)
+            new = surrogate(kind, m[0], key, names)
         out += [text[end: m.start()], new]
         found.append((kind, m[0], new, m.start()))
         end = m.end()
@@ -204,15 +227,18 @@ def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str, int]]
     return "".join(out), found
 
 
-def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = b"strataq surrogates") -> DataFrame:
-    """id, n_entities, text (with surrogates) and entities (type, entity, surrogate, start)."""
+def pseudonymise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: bytes = b"strataq surrogates", names: dict | None = None) -> DataFrame:
+    """id, n_entities, text (with surrogates) and entities (type, entity, surrogate, start). ``names``: given names by
+    (gender, script), instead of the module's."""
+    given = None if names is None else Names(names)
     kinds = pa.list_(pa.struct([("type", pa.string()), ("entity", pa.string()), ("surrogate", pa.string()), ("start", pa.int64())]))
 
     def run(batches):
+        own = given or _OWN
         for batch in batches:
             texts, n, every = [], [], []
             for t in batch.column(1).to_pylist():
-                new, found = (t, []) if t is None else replace(t, key)
+                new, found = (t, []) if t is None else replace(t, key, own)
                 texts.append(new)
                 n.append(len(found))
                 every.append([dict(zip(("type", "entity", "surrogate", "start"), f, strict=True)) for f in found])
