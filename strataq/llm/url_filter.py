@@ -1,6 +1,10 @@
 """URL filter: longest host and path rules first, then logistic regression on hashed character n-grams
 of host and path. DataFrame and ML-pipeline operations only; nothing is shuffled.
 
+The model learns from a table of labelled urls, which is an input. Where none is given, ``labelled_urls`` makes one from word
+lists by a rule: invented hosts under reserved top-level names, of which no judged page can come. ``held_out_accuracy`` fits on
+three quarters of such a table and judges the rest.
+
 A null url, or one without ``://``, has an empty host and path; such a url has no n-grams and gets the
 model's intercept. Long urls are read whole. Repeated rows are judged alike; other columns are ignored.
 """
@@ -15,15 +19,15 @@ from pyspark.sql import functions as F
 #: (host, path, verdict). A rule fits its host and every subdomain where the url's path starts with its path.
 RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
 
-#: Labelled urls for training: 1 is block. Hosts of two kinds, each with paths of two kinds.
-_GOOD = ["www.weather.example.com/en/12", "blog.gardening.example.org/posts/spring-planting", "news.dailyherald.example.net/world/2021/story", "docs.library.example.org/guide/install.html",
-         "university.example.org/research/papers/41", "m.recipes.example.com/fr/205", "museum.example.net/exhibits/bronze", "www.travelnotes.example.com/de/33",
-         "history.example.org/es/771", "thther.example.com/en/676", "blog.ththan.example.net/en/960", "www.therti.example.org/fr/334", "cityhall.example.org/services", "science.example.net/articles/orbit",
-         "wiki.example.org/page/Granite", "shop.bookstore.example.com/catalog/novels"]
-_BAD = ["spam-farm.example.org/en/728", "www.cheap-pills.example.com/en/450", "cheap-pills.example.net/buy/now", "spam-farm.example.com/fr/12", "online-casino-bonus.example.com/win",
-        "free-money-fast.example.net/click", "best-casino.example.org/slots/jackpot", "discount-pills-store.example.com/order", "hot-singles.example.net/join-now", "spam-links.example.org/seo/backlinks",
-        "win-prizes.example.com/free/claim", "replica-watches-cheap.example.net/sale", "casino-spins.example.org/es/90", "adult-cams.example.com/live", "payday-loans-now.example.net/apply", "buy-followers.example.com/cheap"]
-LABELLED = [(f"https://{u}", 0) for u in _GOOD] + [(f"http://{u}", 1) for u in _BAD]
+# Words of hosts and paths that a labelled url of each kind is made of, and words that both kinds have.
+WORDS = {
+    0: ("weather garden library museum science history travel recipe journal school research health music kitchen archive bakery forest village river nature".split(),
+        "article guide chapter lesson report story exhibit manual essay review paper course map timetable".split()),
+    1: ("casino pills cheap spam slots poker viagra jackpot loans replica adult cams bonus winprize clickfarm followers crack keygen payday betting".split(),
+        "buy win free-money order-now jackpot click join-now deal bonus claim hot offer cash unlock".split()),
+}
+SYLLABLES = "ba be bri cor da del er fa fen gal han hol in ja ka lan li ma mer na nor on pa per qui ra ren sa ser ta ter un va wen yo zan the than tion".split()
+PLAIN_HOST, PLAIN_PATH, TOPS = "www blog news m shop docs online my the city".split(), "en de fr es item page id posts 2021 index".split(), "test invalid example localhost".split()
 
 BUCKETS = 1 << 14
 GRAMS = (3, 4, 5)
@@ -61,16 +65,41 @@ def with_features(urls: DataFrame) -> DataFrame:
     return HashingTF(inputCol="__grams", outputCol="__features", numFeatures=BUCKETS, binary=True).transform(df).drop("__grams")
 
 
-def train(spark: SparkSession, labelled=LABELLED) -> LogisticRegressionModel:
-    """Fit on a small table of (url, 1 to block or 0); one partition, so that reruns agree."""
-    table = spark.createDataFrame(list(labelled), "__url string, label double" if isinstance(labelled[0][1], float) else "__url string, label int").coalesce(1)
-    table = with_features(table.withColumn("label", F.col("label").cast("double")))
+def labelled_urls(spark: SparkSession, rows: int = 1200) -> DataFrame:
+    """url, label (1: block): as many of either kind. One word of the kind is in the host, a second in host or path or nowhere;
+    what else the parts are made of, both kinds share. Half of the hosts to allow are made of syllables instead, so that names which
+    nothing is known of are allowed. The same rows every time."""
+    pick = lambda words, k: F.element_at(F.array(*map(F.lit, words)), (F.pmod(F.xxhash64("id", F.lit(k)), F.lit(len(words))) + 1).cast("int"))
+    kind = lambda j, k: F.when(F.col("label") == 1, pick(WORDS[1][j], k)).otherwise(pick(WORDS[0][j], k))
+    way, number = F.pmod(F.xxhash64("id", F.lit("way")), F.lit(3)), F.pmod(F.xxhash64("id", F.lit("n")), F.lit(1000)).cast("string")
+    host = F.concat(pick(PLAIN_HOST, "a"), F.lit("."), kind(0, "h"), F.when(way == 1, F.concat(F.lit("-"), kind(0, "i"))).otherwise(F.lit("")), F.lit("."), pick(TOPS, "t"))
+    path = F.concat(F.lit("/"), pick(PLAIN_PATH, "p"), F.lit("/"), F.when(way == 2, F.concat(kind(1, "q"), F.lit("/"))).otherwise(F.lit("")), number)
+    made = F.concat(*(pick(SYLLABLES, f"s{k}") for k in range(3)))
+    host = F.when((F.col("label") == 0) & (F.col("id") % 4 == 0), F.concat(pick(PLAIN_HOST, "a"), F.lit("."), made, F.lit("."), pick(TOPS, "t"))).otherwise(host)
+    table = spark.range(0, rows, 1, 1).withColumn("label", (F.col("id") % 2).cast("int"))
+    return table.select(F.concat(F.lit("https://"), host, path).alias("url"), "label")
+
+
+def train(labelled: DataFrame, url_col: str = "url", label_col: str = "label") -> LogisticRegressionModel:
+    """Fit on a small table of urls and labels (1 to block, 0 to allow; other and null labels are left out). The rows are put in
+    one order in one partition, so that reruns agree."""
+    table = labelled.select(F.col(url_col).alias("__url"), F.col(label_col).cast("double").alias("label")).where("label in (0, 1)")
+    table = with_features(table.coalesce(1).sortWithinPartitions("__url", "label"))
     return LogisticRegression(featuresCol="__features", labelCol="label", regParam=0.01, maxIter=50, predictionCol="__pred", probabilityCol="__prob", rawPredictionCol="__raw").fit(table)
 
 
-def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, model: LogisticRegressionModel | None = None) -> DataFrame:
-    """The input's rows with host, path, rule, and verdict: the rule's, else the model's."""
-    model = model or train(pages.sparkSession)
+def held_out_accuracy(labelled: DataFrame, url_col: str = "url", label_col: str = "label") -> float:
+    """The share of urls judged as labelled, of the quarter that the model isn't fitted to."""
+    part = F.pmod(F.xxhash64(url_col), F.lit(4))
+    model = train(labelled.where(part > 0), url_col, label_col)
+    other = with_features(labelled.where(part == 0).select(F.col(url_col).alias("__url"), F.col(label_col).alias("__label")))
+    return model.transform(other).agg(F.avg((F.col("__pred") == F.col("__label")).cast("double"))).first()[0]
+
+
+def judge_urls(pages: DataFrame, url_col: str = "url", rules=RULES, labelled: DataFrame | None = None) -> DataFrame:
+    """The input's rows with host, path, rule, and verdict: the rule's, else that of the model that learns from ``labelled``
+    (url, label)."""
+    model = train(labelled if labelled is not None else labelled_urls(pages.sparkSession))
     df = pages.drop("host", "path", "rule", "verdict").withColumn("__url", F.col(url_col))
     df = model.transform(with_features(df))
     rule, verdict = rule_of(F.col("__host"), F.col("__path"), rules)
