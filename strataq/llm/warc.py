@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataq.llm.common import fresh_path, stash
+from strataq.llm.common import fresh_path, split_maybe, stash
 
 #: Fixed values of the format: the skippable frame that holds a dictionary, and the revisit profile.
 DICT_MAGIC = 0x184D2A5D
@@ -169,14 +169,16 @@ def payload_of(html: Column) -> Column:
 
 
 def mark_revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str, min_bytes: int) -> DataFrame:
-    """id, url, payload, refers_to. Equal payloads meet as digests only; payloads are shuffled once, by
-    identifier and digest, so that a hot payload is spread over all tasks."""
+    """id, url, payload, refers_to. Equal payloads meet as digests only. Rows that may be revisits are shuffled once, by
+    identifier and digest, so that a hot payload is spread over all tasks; all others, which a bit filter tells, stay where they are."""
     p = payload_of(F.col(html_col))
     light = pages.select(F.col(id_col).alias("i"), F.sha2(p, 256).alias("k")).where(F.length(p) >= min_bytes)
     owner = light.groupBy("k").agg(F.min("i").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").select("k", "refers_to")
-    revisits = light.join(owner, "k").where("i is null or i != refers_to").distinct()
-    full = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), p.alias("payload")).withColumn("key", F.sha2("payload", 256))
-    return full.join(revisits, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left").select("id", "url", "payload", "refers_to")
+    revisits = stash(pages.sparkSession, light.join(owner, "k").where("i is null or i != refers_to").distinct(), "revisits")
+    full = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), p.alias("payload")).withColumn("key", F.sha2("payload", 256)).withColumn("both", F.xxhash64("id", "key"))
+    some, rest = split_maybe(full, "both", revisits.select(F.xxhash64("i", "k").alias("id")))
+    some = some.join(revisits, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left").select("id", "url", "payload", "refers_to")
+    return some.union(rest.select("id", "url", "payload", F.lit(None).cast(revisits.schema["refers_to"].dataType).alias("refers_to")))
 
 
 def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_bytes: int = 0, folder: str | None = None,
