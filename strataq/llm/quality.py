@@ -7,7 +7,8 @@ labelled documents, gives a logit, and a temperature fitted on labelled document
 makes it a probability.
 
 The word vectors cover all documents; what is gathered is one table of fixed size for each task, summed in
-pieces. The driver holds that table (2 MB) and the vectors of the labelled sample.
+pieces by a tree. The driver holds that table (2 MB) and the vectors of the labelled sample: at most ``max_labelled`` labels, and
+as many documents that carry one of them, each text once.
 
 Nulls: null and empty texts have the zero vector and get a score; null labels are left out. Without both
 labels in the sample, the score is the share of label 1, or one half. Repeated rows are scored
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import chunks, mix64, word_spans, words_of
+from strataq.llm.common import chunks, mix64, stash, sum_tables, word_spans, words_of
 
 #: Hashed words, and the length of their vectors.
 WORDS, DIM, NONZERO = 1 << 14, 32, 4
@@ -74,31 +75,22 @@ def _gather(seed: int):
                     a, b = w[:-off][same], w[off:][same]
                     total += np.bincount(a * DIM + at[k][b], sign[k][b], WORDS * DIM)
                     total += np.bincount(b * DIM + at[k][a], sign[k][a], WORDS * DIM)
-        rows = np.concatenate((total.reshape(WORDS, DIM), seen[:, None]), axis=1).astype(np.float32).reshape(PIECES, -1)
+        rows = np.concatenate((total.reshape(WORDS, DIM), seen[:, None]), axis=1).reshape(PIECES, -1)
         if seen.any():
-            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())], names=["piece", "sums"])
-
-    return run
+            from pyspark import TaskContext
 
+            part = pa.array([TaskContext.get().partitionId()] * PIECES, pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(range(PIECES), pa.int32()), part, pa.array([r.tobytes() for r in rows], pa.binary())], names=["piece", "part", "sums"])
 
-def _add_up(batches):
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = np.frombuffer(sums, np.float32).astype(np.float64)
-            total[piece] = total[piece] + x if piece in total else x
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.astype(np.float64).tobytes() for v in total.values()], pa.binary())], names=["piece", "sums"])
+    return run
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text", seed: int = 11) -> np.ndarray:
     """WORDS x DIM, scaled so that every coordinate has mean 0 and spread 1 over the words that occur."""
-    schema = "piece int, sums binary"
-    parts = docs.select(text_col).mapInArrow(_gather(seed), schema)
-    summed = parts.repartition(PIECES, "piece").mapInArrow(_add_up, schema).collect()
+    parts = stash(docs.sparkSession, docs.select(text_col).mapInArrow(_gather(seed), "piece int, part int, sums binary"), "vectors")
     table = np.zeros((PIECES, WORDS // PIECES * (DIM + 1)))
-    for r in summed:
-        table[r.piece] += np.frombuffer(r.sums, np.float64)
+    for piece, sums in sum_tables(parts).items():
+        table[piece] = sums
     table = table.reshape(WORDS, DIM + 1)
     seen = table[:, -1:]
     v = table[:, :-1] / np.maximum(seen, 1)
@@ -205,7 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 x = np.concatenate(parts)
                 yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), pa.array([r.tobytes() for r in x], pa.binary())], names=["id", "y", "x"])
 
-    got = sorted(rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary").collect(), key=lambda r: (str(r.id), r.y, bytes(r.x)))
+    made = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, y int, x binary")
+    # a labelled identifier may stand on any number of rows
+    made = made.distinct().orderBy(F.xxhash64("id", "x"), "y").limit(max_labelled)
+    got = sorted(made.collect(), key=lambda r: (str(r.id), r.y, bytes(r.x)))
     x = np.array([np.frombuffer(r.x, np.float32) for r in got]).reshape(len(got), POOLED)
     return fit_network(x, np.array([r.y for r in got], np.float64), vectors)
 
