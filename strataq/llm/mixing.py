@@ -146,15 +146,17 @@ def _fly(level: int, seed: int, last: bool):
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=(3.0, 1.0, 2.0),
         share: float = 1.5, cap: float = 2.0, seed: int = 7, block: int = BLOCK) -> DataFrame:
-    """One row for each document: id, source, size, source_size, target, copies and taken (copies times size)."""
+    """One row for each document: id, source, size, source_size, target, copies, taken (copies times size) and row (a hash of
+    identifier, text and source)."""
     spark = docs.sparkSession
-    sizes = stash(spark, docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size")), "sizes")
+    row = F.xxhash64(id_col, text_col, source_col).alias("row")
+    sizes = stash(spark, docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), row), "sizes")
     plan = stash(spark, targets(sizes, weights, share, cap), "targets")
     r = F.when(F.col("source_size") > 0, F.least(F.lit(float(cap)), F.col("target") / F.col("source_size"))).otherwise(0.0)
     rows = sizes.join(plan.withColumnRenamed("source", "s2"), F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
     rows = rows.withColumn("r", r).withColumn("base", F.floor(F.col("r") + EPS).cast("int"))
     rows = rows.withColumns({"p": F.greatest(F.col("r") - F.col("base"), F.lit(0.0)), "x": F.lit(None).cast("int")})
-    rows = rows.select("id", "source", "size", "source_size", "docs", "target", "base", "p", "x")
+    rows = rows.select("id", "source", "size", "source_size", "docs", "target", "base", "p", "x", "row")
     most, decided = plan.agg(F.max("docs")).first()[0] or 0, []
     level = 0
     while True:
@@ -173,4 +175,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     for d in decided[1:]:
         out = out.unionByName(d)
     copies = F.col("base") + F.col("x")
-    return out.select("id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return out.select("id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "row")
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: the documents that are taken, all their columns, and size, source_size, target, copies and taken. Rows
+    that repeat identifier, text and source come once, with the copies of all of them."""
+    plan = mix(docs, id_col, text_col, source_col, **how)
+    added = {"size": F.first("size"), "source_size": F.first("source_size"), "target": F.first("target"), "copies": F.sum("copies").cast("int"), "taken": F.sum("taken")}
+    plan = plan.where("copies > 0").groupBy(F.col("row").alias("__row")).agg(*(c.alias(f"__{n}") for n, c in added.items()))
+    own = docs.withColumn("__r", F.xxhash64(id_col, text_col, source_col))
+    repeated = stash(docs.sparkSession, own.groupBy("__r").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("__r").alias("__again")), "repeated")
+    if not repeated.isEmpty():
+        on = F.col("__r") == F.col("__again")
+        own = own.join(repeated, on, "left_anti").unionByName(own.join(repeated, on, "left_semi").dropDuplicates(["__r"]))
+    out = own.join(plan, F.col("__r") == F.col("__row"))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), *(F.col(f"__{n}").alias(n) for n in added))
