@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import chunks, components, mix64, only_maybe, stash, words_of
+from strataq.llm.common import chunks, components, mix64, only_maybe, stash, sum_tables, words_of
 
 #: Cells of the table of token counts, and the pieces in which it is summed.
 CELL_BITS, PIECES = 18, 16
@@ -69,7 +69,7 @@ def _as_long(s: np.ndarray) -> pa.Array:
     return pa.array(s.view(np.int64))
 
 
-_NODE = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("mh", pa.list_(pa.int64())), ("piece", pa.int32()), ("sums", pa.binary())])
+_NODE = pa.schema([("id", pa.int64()), ("k", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("mh", pa.list_(pa.int64())), ("piece", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())])
 
 
 def _describe(width: int):
@@ -86,33 +86,21 @@ def _describe(width: int):
                     mh.append([_minhash(s, k) for k in range(KEYS)] if len(s) else None)
                 every = np.concatenate(sets)
                 cells += np.bincount((every >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(mh, pa.list_(pa.int64())),
-                                              pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], schema=_NODE)
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(mh, pa.list_(pa.int64())),
+                                              pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], schema=_NODE)
         if cells.any():
-            parts = cells.astype(np.uint32).reshape(PIECES, -1)
+            from pyspark import TaskContext
+
             none = lambda t: pa.nulls(PIECES, t)
-            yield pa.RecordBatch.from_arrays([none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.list_(pa.int64())), pa.array(range(PIECES), pa.int32()),
-                                              pa.array([p.tobytes() for p in parts], pa.binary())], schema=_NODE)
+            yield pa.RecordBatch.from_arrays([none(pa.int64()), none(pa.int64()), none(pa.int64()), none(pa.binary()), none(pa.list_(pa.int64())), pa.array(range(PIECES), pa.int32()),
+                                              pa.array([TaskContext.get().partitionId()] * PIECES, pa.int32()), pa.array([p.tobytes() for p in cells.reshape(PIECES, -1)], pa.binary())], schema=_NODE)
 
     return run
 
 
-def _add_counts(batches):
-    total: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for piece, sums in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            x = np.frombuffer(sums, np.uint32).astype(np.int64)
-            total[piece] = total[piece] + x if piece in total else x
-    if total:
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], names=["piece", "sums"])
-
-
 def _token_counts(described: DataFrame) -> np.ndarray:
-    rows = described.where("piece is not null").select("piece", "sums").repartition(PIECES, "piece").mapInArrow(_add_counts, "piece int, sums binary").collect()
-    table = np.zeros((PIECES, (1 << CELL_BITS) // PIECES), np.int64)
-    for r in rows:
-        table[r.piece] += np.frombuffer(r.sums, np.int64)
-    return table.reshape(-1)
+    sums = sum_tables(described.where("piece is not null").select("piece", "part", "sums"), np.int64)
+    return np.concatenate([sums[k] for k in range(PIECES)]) if sums else np.zeros(1 << CELL_BITS, np.int64)
 
 
 def joins(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -313,16 +301,16 @@ def _needed(percent: int):
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """One row for each document: id, n_shingles, component_id (the smallest identifier reachable)."""
+    """One row for each document: id, n_shingles, component_id (the smallest identifier reachable) and k (a hash of the text)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    described = stash(spark, docs.mapInArrow(_describe(width), "id long, n long, digest binary, mh array<long>, piece int, sums binary"), "described")
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("k"))
+    described = stash(spark, docs.mapInArrow(_describe(width), "id long, k long, n long, digest binary, mh array<long>, piece int, part int, sums binary"), "described")
     rows = described.where("piece is null")
     classes = stash(spark, rows.where("digest is not null and id is not null").groupBy("digest").agg(F.min("id").alias("id"), F.first("mh").alias("mh"), F.first("n").alias("n")), "classes")
     # an identifier that several sets share is a node of each of them; it links them as its own document would
     nodes = stash(spark, classes.select("id", "mh"), "nodes")
     counts = spark.sparkContext.broadcast(_token_counts(described))
-    named = docs.where("id is not null")
+    named = docs.where("id is not null").select("id", "text")
     links = _first_groups(spark, named, nodes, width, percent)
     links = stash(spark, links, "links0")
     labels = stash(spark, _relabel(nodes, components(spark, links)).distinct(), "labels0")
@@ -370,11 +358,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 final = stash(spark, _relabel(nodes, components(spark, over.union(more))).distinct(), "labels2")
     by_class = classes.select("digest", F.col("id").alias("node")).join(final.withColumnRenamed("id", "node"), "node").select(F.col("digest").alias("d2"), "label")
     out = rows.join(by_class, F.col("digest") == F.col("d2"), "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id"))
+    return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id"), "k")
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that aren't the first of their component, all columns as they are."""
+    """``docs`` without the documents that aren't the first of their component, all columns as they are. Different texts of one
+    identifier are judged each by itself; a row with a null identifier goes where an equal set has one."""
     judged = jaccard_components(docs, id_col, text_col, width, percent)
-    gone = stash(docs.sparkSession, judged.where("id != component_id").select(F.col("id").alias("__id")).distinct(), "near")
-    return docs.join(gone, F.col(id_col) == F.col("__id"), "left_anti")
+    gone = judged.where("component_id is not null and not id <=> component_id").select(F.col("id").alias("__id"), F.col("k").alias("__k")).distinct()
+    gone, own = stash(docs.sparkSession, gone, "near"), docs.withColumn("__own", F.xxhash64(text_col))
+    return own.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__k")), "left_anti").drop("__own")
