@@ -20,7 +20,7 @@ def docs(spark, rows, schema="doc_id long, text string, source string, score dou
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
 
 
-def test_decontaminate(spark, monkeypatch):
+def test_decontaminate(spark):
     w = ITEM.split()
     swapped = " ".join("x" if k in (5, 12) else x for k, x in enumerate(w))
     far = " ".join("x" if k % 2 else x for k, x in enumerate(w))
@@ -29,8 +29,8 @@ def test_decontaminate(spark, monkeypatch):
     for inline in (200_000, 0):
         got = decontaminate.decontaminate(docs(spark, rows), bench, inline_seeds=inline).collect()
         assert sorted((r.id or 0, r.item, r.matched) for r in got) == [(0, 10, 18), (1, 10, 18), (2, 10, 16), (7, 10, 18), (8, 10, 18)]
-    monkeypatch.setattr(decontaminate, "INLINE_WORDS", 100)
-    assert decontaminate.decontaminate(docs(spark, rows), bench).count() == 5
+    twice = bench.union(bench)
+    assert decontaminate.decontaminate(docs(spark, rows), twice).count() == 5
     assert sorted(r.doc_id for r in decontaminate.drop_contaminated(docs(spark, rows), bench).collect()) == [3, 4, 5, 6]
     assert decontaminate.decontaminate(docs(spark, []), bench).count() == 0
     assert decontaminate.decontaminate(docs(spark, rows), bench.limit(0)).count() == 0
@@ -64,6 +64,22 @@ def test_decontaminate_short_and_substituted_items(spark):
         assert {tuple(r) for r in decontaminate.decontaminate(table, bench, inline_seeds=inline).select("id", "item", "score", "matched").collect()} == want
 
 
+def test_decontaminate_long_item(spark):
+    """An item of 50,000 words costs seeds in proportion to them, and one alignment where it is copied."""
+    w = [f"v{k * 7919 % 60_000}" for k in range(50_000)]
+    bench = spark.createDataFrame([(1, " ".join(w)), (2, " ".join(f"q{k}" for k in range(300)))], "item_id long, text string")
+    table = docs(spark, [(1, "x " + " ".join(w)), (2, " ".join(w[100:130])), (3, "nothing of it"), (4, " ".join(f"q{k}" for k in range(300)))])
+    assert decontaminate.item_seeds(decontaminate.benchmark_items(bench, "item_id", "text")).count() == 49_996 + 296
+    got = decontaminate.decontaminate(table, bench).collect()
+    assert sorted((r.id, r.item, r.score, r.matched) for r in got) == [(1, 1, 50_000, 50_000), (2, 1, 30, 30), (4, 2, 300, 300)]
+
+
+def test_drop_contaminated_judges_rows_that_share_an_identifier(spark):
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    kept = decontaminate.drop_contaminated(docs(spark, [(1, ITEM), (1, "another text"), (None, ITEM), (None, None)]), bench)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == [(1, "another text"), (None, None)] and kept.columns == ["doc_id", "text", "source", "score"]
+
+
 def rule(host, path):
     fit = [(len(h + p), h + p, v) for h, p, v in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fit)[1:] if fit else (None, None)
@@ -86,6 +102,18 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_url_model(spark):
+    """Learnt from a table that is an input: another table, other verdicts."""
+    table = url_filter.labelled_urls(spark)
+    assert table.count() == 1200 and table.where("label = 1").count() == 600 and url_filter.held_out_accuracy(table) > 0.9
+    assert table.where("url like '%example.com%' or url like '%example.org%' or url like '%example.net%'").count() == 0
+    pages = spark.createDataFrame([(1, "http://cheap-casino.shop/win"), (2, "http://village-library.org/guide/3"), (3, "http://ththan.nowhere/7"), (4, "http://apples.one/x")], "page_id long, url string")
+    verdicts = lambda t: {r.page_id: r.verdict for r in url_filter.judge_urls(pages, labelled=t).collect()}
+    assert verdicts(None) == {1: "block", 2: "allow", 3: "allow", 4: "allow"}
+    own = spark.createDataFrame([(f"http://{w}{k}.one/x", int(w == "apples")) for k in range(20) for w in ("apples", "pears")] + [(None, None), ("http://u", None)], "url string, label int")
+    assert verdicts(own)[4] == "block"
+
+
 def test_quality(spark):
     d = spark.read.parquet(f"{DATA}/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -99,6 +127,51 @@ def test_quality(spark):
     assert quality.score(docs(spark, []), none, out_col="s").count() == 0
 
 
+def test_word_vectors_and_pooling_by_plain_loops(spark):
+    """The vectors of all words and the pooled vector of each text against loops over words."""
+    texts = ["one two three two one", None, "", "three", "Two one four five one two", "one two three two one"]
+    got = quality.word_vectors(docs(spark, list(enumerate(texts))).repartition(3))
+    cell = lambda w: int(quality._tokens([np.frombuffer(w.encode(), np.uint8)])[0][0])
+    end = lambda w: int(quality._endings([np.frombuffer(w.encode(), np.uint8)])[0])
+    (at, sign), (at2, sign2) = quality._index_vectors(11, quality.WORDS), quality._index_vectors(12, quality.WORDS)
+    total, seen = np.zeros((quality.WORDS, quality.DIM)), np.zeros(quality.WORDS)
+    for t in texts:
+        w = (t or "").split()
+        for k, x in enumerate(w):
+            seen[cell(x)] += 1
+            for j in range(quality.NONZERO):
+                total[cell(x), at2[j][end(x)]] += sign2[j][end(x)]
+                for other in [*w[max(0, k - 2): k], *w[k + 1: k + 3]]:
+                    total[cell(x), at[j][cell(other)]] += sign[j][cell(other)]
+    used = seen > 0
+    v = total[used] / seen[used][:, None]
+    want = (v - v.mean(0)) / (v.std(0) + 1e-9)
+    assert np.allclose(got[used], want, atol=1e-4) and not got[~used].any()
+    pooled = quality.pool([np.frombuffer((t or "").encode(), np.uint8) for t in texts], got)
+    for t, p in zip(texts, pooled, strict=True):
+        x = np.array([got[cell(w)] for w in (t or "").split()]).reshape(-1, quality.DIM)
+        if not len(x):
+            assert not p.any()
+            continue
+        step = np.sqrt((np.diff(x, axis=0) ** 2).mean(0)) if len(x) > 1 else np.full(quality.DIM, 2**0.5)
+        assert np.allclose(p, np.concatenate((x.mean(0), x.std(0), step, [len(x) / (len(x) + quality.PRIOR_WORDS)])), atol=1e-3)
+
+
+def test_labelled_rows_are_bounded(spark):
+    """An identifier that stands on many rows gives its text once, and no more than the bound are collected."""
+    lab = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    table = docs(spark, [(1, "good words here")] * 50 + [(2, f"bad {k}") for k in range(50)])
+    seen = []
+    real = quality.fit_network
+    try:
+        quality.fit_network = lambda x, y, vectors: seen.append((len(x), y.sum())) or real(x, y, vectors)
+        quality.fit(table, lab)
+        quality.fit(table, lab, max_labelled=10)
+    finally:
+        quality.fit_network = real
+    assert 40 < seen[0][0] <= 51 and seen[0][1] == 1 and seen[1][0] <= 10  # texts of one vector count once
+
+
 def test_network_learns():
     rng = np.random.default_rng(0)
     x = np.hstack((rng.normal(size=(2000, quality.POOLED - 1)), np.ones((2000, 1)))).astype(np.float32)
@@ -131,6 +204,32 @@ def test_mixing(spark):
     assert mixing.mix(docs(spark, [])).count() == 0
 
 
+def test_mixing_keeps_inclusion_probabilities(spark):
+    """Over seeds, a document is taken as often as its source's target over its size says, but for the twelve of a landing."""
+    rows = [(k, "w " * (k * 7 % 23 + 1), f"s{k % 2}") for k in range(400)]
+    table, share = docs(spark, rows), {}
+    taken = np.zeros(400)
+    for seed in range(12):
+        for r in mixing.mix(table, seed=seed, block=64).collect():
+            taken[r.id] += r.copies / 12
+            share[r.source] = r.target / r.source_size
+    for s in (0, 1):
+        got = taken[np.arange(400) % 2 == s]
+        assert got.mean() == pytest.approx(share[f"s{s}"], rel=0.02)
+        p = share[f"s{s}"] % 1
+        assert p in (0.0,) or (np.abs(got - share[f"s{s}"]) > 4.5 * (p * (1 - p) / 12) ** 0.5).mean() < 0.03
+
+
+def test_mixed_keeps_texts_and_columns(spark):
+    rows = [(k, "w " * (k % 5 + 1), "a") for k in range(40)] + [(7, "w w w", "a")] * 3 + [(None, None, None), (50, "w", "b")]
+    table = docs(spark, rows)
+    out, plan = mixing.mixed(table), mixing.mix(table)
+    assert out.columns == ["doc_id", "text", "source", "score", "size", "source_size", "target", "copies", "taken"]
+    got = out.collect()
+    assert sum(r.taken for r in got) == sum(r.taken for r in plan.collect()) and all(r.taken == r.copies * len(r.text.split()) for r in got)
+    assert len({(r.doc_id, r.text, r.source) for r in got}) == len(got)
+
+
 def test_archive_round_trip():
     records = [warc.record_bytes(k, f"http://a/{k}\r\n", f"<p>{k} some page text</p>".encode() * (k % 9)) for k in range(300)] + [warc.record_bytes(None, None, b"", 3, True)]
     data = b"".join(warc.archive_parts(records))
@@ -280,6 +379,54 @@ def test_surrogates(spark):
     assert surrogates.pseudonymise(docs(spark, [])).count() == 0
 
 
+def test_surrogates_read_long_tokens_in_linear_time():
+    import time
+
+    for token in ("a1" * 1_000_000, "a." * 1_000_000, "x@" + "a-" * 1_000_000, "@" * 1_000_000, "password" * 200_000, "token" + " " * 1_000_000, "1 " * 500_000, "Aa" * 500_000, "+1 " * 300_000):
+        began = time.perf_counter()
+        surrogates.replace("Ann@x.org " + token + " bob@y.org", b"k")
+        assert time.perf_counter() - began < 10, token[:9]
+    began = time.perf_counter()
+    new, found = surrogates.replace("a1" * 1_000_000, b"k")
+    assert time.perf_counter() - began < 2 and found == []
+
+
+def test_surrogates_over_whole_documents(spark):
+    """Each entity has one surrogate, no two share one, and titles, given names and endings keep their gender and script."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in table.select("doc_id", "text").collect()}
+    own, made, n = {}, {}, 0
+    plain = lambda e: re.sub(r"[^\w]+", " ", e).lower()
+    for r in surrogates.pseudonymise(table).collect():
+        at, out = 0, []
+        for e in r.entities:
+            assert texts[r.id][e.start: e.start + len(e.entity)] == e.entity and e.surrogate != e.entity
+            out += [texts[r.id][at: e.start], e.surrogate]
+            at = e.start + len(e.entity)
+            assert own.setdefault((e.type, plain(e.entity)), plain(e.surrogate)) == plain(e.surrogate)
+            assert made.setdefault((e.type, plain(e.surrogate)), plain(e.entity)) == plain(e.entity)
+            n += 1
+            if e.type == "name":
+                for a, b in zip(e.entity.split(), e.surrogate.split(), strict=True):
+                    if a in surrogates._OWN.listed:
+                        assert surrogates._OWN.listed[a][0] == surrogates._OWN.listed[b][0]
+                    assert a[0].isupper() == b[0].isupper() and (a[0] < "\u0400") == (b[0] < "\u0400")
+            else:
+                assert len(e.entity) == len(e.surrogate) or e.type == "ip"
+        assert "".join([*out, texts[r.id][at:]]) == r.text
+    assert n > 100
+
+
+def test_surrogates_of_unlisted_names():
+    for text, name in (("My name is Fiona Braithwaite.", "Fiona"), ("mein Name ist Jorgo Weber", "Jorgo"), ("меня зовут Зинаида Котова", "Зинаида"), ("Name: Orlando Furst", "Orlando"), ("Dr Quentin Moss", "Quentin")):
+        new, [(kind, entity, other, _)] = surrogates.replace(text, b"k")
+        assert kind == "name" and name in entity and name not in new
+        first = other.split()[-2]
+        assert first[-1] == name[-1] or name == "Quentin"  # an ending that shows the gender stays
+    names = {("f", "latin"): ["Ada", "Eve"], ("m", "latin"): ["Abe", "Eli"]}
+    assert surrogates.replace("Eve Stone met James Dean", b"k", surrogates.Names(names))[0].startswith("Ada ") and "James Dean" in surrogates.replace("Eve Stone met James Dean", b"k", surrogates.Names(names))[0]
+
+
 def test_surrogates_keep_coreference_and_distinctness():
     key = b"k"
     one = {surrogates.replace(f"{before}Smith came.", key)[0].split()[-2] for before in ("Mr ", "Mrs ", "Ms. ", "Mr John ", "Mary ", "Dr John ")}
@@ -299,7 +446,7 @@ def test_surrogates_keep_coreference_and_distinctness():
 
 
 def test_collision_check_raises(monkeypatch):
-    monkeypatch.setattr(surrogates, "_turned", lambda kind, text, key, back: "same")
+    monkeypatch.setattr(surrogates, "_turned", lambda kind, text, key, back, names: "same")
     with pytest.raises(ValueError):
         surrogates.surrogate("ssn", "111-22-3333", b"another key")
 

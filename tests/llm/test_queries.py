@@ -61,13 +61,16 @@ def test_odd_tables(spark, odd, name):
             out = f(spark, docs, d)
             assert out.schema.names == docs.schema.names
             out.collect()
-        assert corpus_pipeline.run(spark, d).count() <= len(DOCS)
+        out = corpus_pipeline.run(spark, d)
+        assert out.count() <= len(DOCS) and set(docs.columns) <= set(out.columns)
         return
     got = queries.QUERIES[name](spark, f"{odd}/some").collect()
-    if name == "op8_decontaminate":
+    if name == "mixing_targets":
+        assert len(got) == len({s for _, _, _, s in DOCS})
+    elif name == "op8_decontaminate":
         assert {(r.doc_id, r.item_id) for r in got} == {(7, 1), (8, 1), (7, None), (8, None)}
     else:
-        assert len(got) == (len(PAGES) if name in ("op2_warc", "op6_url_filter") else len(DOCS))
+        assert len(got) == (len(PAGES) if name in ("op2_warc", "op6_url_filter", "url_rules") else len(DOCS))
 
 
 def rows_of(spark, table, *columns):
@@ -77,15 +80,20 @@ def rows_of(spark, table, *columns):
 @pytest.mark.parametrize("name", list(queries.ORACLE))
 def test_sql(spark, odd, name):
     for d in (DATA, "/root/testdata/sf0.01", f"{odd}/some"):
+        if d.startswith(odd) and name == "op10_jaccard":
+            continue  # identifiers of several texts, which a join on them can't tell apart
         con = duckdb.connect()
-        for table in ("documents", "pages"):
+        for table in ("documents", "pages", "benchmark"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{d}/{table}.parquet{'/*.parquet' if d.startswith(odd) else ''}')")
         got, want = queries.QUERIES[name](spark, d), con.execute(queries.ORACLE[name])
         names = [c[0] for c in want.description]
+        near = {"mixing_targets": 2}.get(name)  # sums of floats, whose order is open
         assert sorted(names) == sorted(got.columns)
         plain = lambda rows: sorted((tuple(r) for r in rows), key=repr)
         want = plain(want.fetchall())
         got = plain(got.select(*names).collect())
+        if near:
+            got, want = (plain(tuple(round(v, near) if isinstance(v, float) else v for v in r) for r in x) for x in (got, want))
         if d.startswith(odd) and name == "op4_exact_dedup":  # of a repeated row, which one stays is open, and nulls sort otherwise
             at = [names.index(c) for c in ("doc_id", "keep_id", "group_size", "text_sha256")]
             got, want = (sorted((tuple(r[k] for k in at) for r in x), key=repr) for x in (got, want))
@@ -114,6 +122,15 @@ def test_op1(spark):
     assert all(abs(taken[s] - target[s]) <= 2 * largest[s] for s in names)
 
 
+def test_op1_meets_its_targets(spark):
+    """The taken words of each source at sf0.01 come within a hundredth of its target."""
+    taken, target = Counter(), {}
+    for r in queries.op1_mixing(spark, "/root/testdata/sf0.01").collect():
+        taken[r.target, r.source_size] += r.taken
+        target[r.target, r.source_size] = r.target
+    assert len(target) > 5 and all(abs(taken[s] - target[s]) <= 0.01 * target[s] for s in target)
+
+
 def test_op3(spark):
     got = {r.doc_id: r for r in queries.op3_quality(spark, DATA).collect()}
     for i, r in got.items():
@@ -148,28 +165,29 @@ def test_op7(spark):
 
 
 def brute_leaks(docs, items):
-    """(document, item): score, by alignment around every shared seed."""
-    out = {}
-    words = lambda t: ALNUM.findall((t or "").lower())
-    seeds = defaultdict(set)
-    items = {i: words(t) for i, t in items}
-    for i, w in items.items():
-        for a in range(len(w) - decontaminate.SPAN + 1):
-            for m, mask in enumerate(decontaminate.MASKS):
-                seeds[m, tuple(w[a + o] for o in mask)].add((i, a))
+    """(document, item): score, by alignment along every diagonal with equal words; no seeds."""
+    words, out, at = lambda t: ALNUM.findall((t or "").lower()), {}, defaultdict(list)
+    items = [(i, words(t)) for i, t in items]
+    for j, (_, w) in enumerate(items):
+        for k, x in enumerate(w):
+            at[x].append((j, k))
     for d, t in docs:
-        w = words(t)
-        for p in range(len(w) - decontaminate.SPAN + 1):
-            for m, mask in enumerate(decontaminate.MASKS):
-                for i, a in seeds.get((m, tuple(w[p + o] for o in mask)), ()):
-                    cur = best = 0
-                    for k, x in enumerate(items[i]):
-                        j = p - a + k
-                        near = max(p - decontaminate.REACH, 0) <= j < min(len(w), max(p - decontaminate.REACH, 0) + 2 * decontaminate.REACH + decontaminate.SPAN)
-                        cur = max(0, cur + (1 if near and w[j] == x else -2))
-                        best = max(best, cur)
-                    out[d, i] = max(out.get((d, i), 0), best)
-    return {k: v for k, v in out.items() if v >= 10}
+        met = defaultdict(list)
+        for p, x in enumerate(words(t)):
+            for j, k in at.get(x, ()):
+                met[j, p - k].append(k)
+        for (j, _), ks in met.items():
+            i, n = items[j][0], len(items[j][1])
+            if len(ks) < 4 and len(ks) < n - n // decontaminate.RATE:
+                continue
+            cur = best = 0
+            before = ks[0] - 1
+            for k in ks:
+                cur = max(0, cur - 2 * (k - before - 1)) + 1
+                best, before = max(best, cur), k
+            if best >= 10 or len(ks) >= n - n // decontaminate.RATE:
+                out[d, i] = max(out.get((d, i), 0), best)
+    return out
 
 
 def test_op8(spark):
@@ -205,6 +223,7 @@ def test_pipeline_against_brute_force(spark):
     before, after = seen[3]
     assert after == set(before) - {d for d, _ in brute_leaks(before.items(), rows_of(spark, "benchmark", "item_id", "text"))}
     out = corpus_pipeline.run(spark, DATA).collect()
+    assert {(r.doc_id, r.text) for r in out} <= set(before.items())
     source = dict(rows_of(spark, "documents", "doc_id", "source"))
     size = {i: len(WORD.findall(before[i] or "")) for i in after}
     taken, largest, target = Counter(), Counter(), {}
