@@ -1,9 +1,15 @@
-"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: five stages over documents, each written as Parquet and read again as the next one's input.
+
+Nulls: null and empty texts are judged as empty ones: the classifier scores them, one of them stays after the exact stage, the
+others keep it, and the mix takes none of it, for it has no words. Rows with a null identifier are judged by their texts; a null source is a
+source of its own. Rows that repeat identifier and text leave one after the exact stage; different texts of one identifier are judged each by
+itself in every stage. Texts are read whole, however long. Empty tables give empty results. Extra columns, whatever their names, are
+kept, but for those of the names that the last stage adds, which it replaces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strataq.llm import decontaminate, exact_dedup, jaccard, mixing, quality
 from strataq.llm.common import fresh_path
@@ -30,8 +36,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: doc_id, source, size, source_size, target, copies and taken of the documents that are taken."""
-    return mixing.mix(docs).where(F.col("copies") > 0).withColumnRenamed("id", "doc_id")
+    """The mix: the documents that are taken, with their texts and all columns, and size, source_size, target, copies and taken."""
+    return mixing.mixed(docs)
 
 
 STAGES = [
