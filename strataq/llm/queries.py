@@ -126,9 +126,9 @@ FROM (SELECT page_id, host, path, CASE
   FROM (SELECT page_id, translate(regexp_extract(u, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(u, '://[^/?#]*([^?#]*)', 1) AS path
         FROM (SELECT page_id, coalesce(url, '') AS u FROM pages) x) y) z""",
     "op7_repeats": """
-WITH t AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-places AS (SELECT r, h, unnest(range(0, len(h) // 2 - 399)) AS p FROM t WHERE len(h) >= 800),
-windows AS (SELECT r, p, md5(substr(h, 2 * p + 1, 800)) AS w FROM places),
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+places AS (SELECT r, b, unnest(range(0, octet_length(b) - 399)) AS p FROM t WHERE octet_length(b) >= 400),
+windows AS (SELECT r, p, md5(array_slice(b, p + 1, p + 400)) AS w FROM places),
 twice AS (SELECT w FROM windows GROUP BY w HAVING count(*) > 1),
 starts AS (SELECT r, p FROM windows SEMI JOIN twice USING (w)),
 -- removed runs: starts at most 400 bytes apart
@@ -136,9 +136,10 @@ runs AS (SELECT r, min(p) AS lo, max(p) + 400 AS hi FROM (
   SELECT r, p, sum(CASE WHEN p - before <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY p) AS g
   FROM (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM starts) a) b GROUP BY r, g),
 gaps AS (SELECT r, lo, hi, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS last FROM runs),
-kept AS (SELECT gaps.r, sum(hi - lo) AS n_removed, count(*) AS n_spans, string_agg(substr(h, 2 * last + 1, 2 * (lo - last)), '' ORDER BY lo) AS head, max(hi) AS tail FROM gaps JOIN t ON t.r = gaps.r GROUP BY gaps.r)
-SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE coalesce(head, '') || substr(h, 2 * tail + 1) END)) AS kept_sha256
+kept AS (SELECT gaps.r, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS tail,
+         string_agg(CASE WHEN lo > last THEN hex(array_slice(b, last + 1, lo)) ELSE '' END, '' ORDER BY lo) AS head FROM gaps JOIN t ON t.r = gaps.r GROUP BY gaps.r)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN n_spans IS NULL THEN b ELSE unhex(head || CASE WHEN tail < octet_length(b) THEN hex(array_slice(b, tail + 1, octet_length(b))) ELSE '' END) END) AS kept_sha256
 FROM t LEFT JOIN kept ON t.r = kept.r""",
     "op8_decontaminate": r"""
 WITH w AS (SELECT *, list_filter(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}]+', ' ', 'g')), ' '), lambda x: x <> '') AS ws
