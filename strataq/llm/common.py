@@ -36,7 +36,17 @@ def fresh_path(spark: SparkSession, what: str) -> str:
 def stash(spark: SparkSession, df: DataFrame, what: str) -> DataFrame:
     """Write ``df`` in the shared folder and read it again, so that a lost executor costs no recomputation."""
     df.write.parquet(path := fresh_path(spark, what))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stashed = path
+    return out
+
+
+def unstash(*tables: DataFrame) -> None:
+    """Delete written tables that nothing later reads."""
+    for df in tables:
+        spark = df.sparkSession
+        p = spark._jvm.org.apache.hadoop.fs.Path(df.stashed)
+        p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
 #: Multipliers by position in a word (mod 64), fixed by a seed so that hashes agree everywhere.
@@ -130,28 +140,33 @@ FAN = 32
 def sum_tables(parts: DataFrame, dtype=np.float64) -> dict[int, np.ndarray]:
     """The sums by piece of a written table of partial ones (piece int, part int, sums binary of ``dtype``), one row for each
     piece and task. Partial sums meet in a tree of FAN rows a task, so no task reads more than that however many there are;
-    the driver gets one row for each piece."""
+    the driver gets one row for each piece. Floats are added in double precision."""
     from pyspark.sql import functions as F
 
-    def add(batches):
-        import pyarrow as pa
+    wide = np.dtype(np.float64 if np.issubdtype(dtype, np.floating) else dtype)
+
+    def adding(kind):
+        def add(batches):
+            import pyarrow as pa
 
-        total: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            for piece, part, sums in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                x = np.frombuffer(sums, dtype)
-                total[piece, part] = total[piece, part] + x if (piece, part) in total else x
-        if total:
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([total[k].tobytes() for k in keys], pa.binary())], names=["piece", "part", "sums"])
+            total: dict[tuple, np.ndarray] = {}
+            for batch in batches:
+                for piece, part, sums in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                    x = np.frombuffer(sums, kind).astype(wide)
+                    total[piece, part] = total[piece, part] + x if (piece, part) in total else x
+            if total:
+                keys = list(total)
+                yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int32()), pa.array([k[1] for k in keys], pa.int32()), pa.array([total[k].tobytes() for k in keys], pa.binary())], names=["piece", "part", "sums"])
+
+        return add
 
     spark, left = parts.sparkSession, (parts.agg(F.max("part")).first()[0] or 0) + 1
     while True:
         left = -(-left // FAN)
         met = parts.select("piece", F.expr(f"cast(part % {left} as int)").alias("part"), "sums").repartition("piece", "part").sortWithinPartitions("piece", "part")
-        met = met.mapInArrow(add, "piece int, part int, sums binary")
+        met, dtype = met.mapInArrow(adding(dtype), "piece int, part int, sums binary"), wide
         if left == 1:
-            return {r.piece: np.frombuffer(r.sums, dtype) for r in met.collect()}
+            return {r.piece: np.frombuffer(r.sums, wide) for r in met.collect()}
         parts = stash(spark, met, "sums")
 
 
@@ -159,29 +174,30 @@ def sum_tables(parts: DataFrame, dtype=np.float64) -> dict[int, np.ndarray]:
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 18, 1 << 26, 10
 
 
-def only_maybe(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose key may be in the written table ``keys`` (column id): a bit filter, sized by the number of
-    keys and broadcast, lets most other rows go before any shuffle. The join that follows decides. A filter at its largest
-    size fills up as keys grow, and is left out where it would prune next to nothing."""
-    return split_maybe(df, key, keys)[0]
-
-
-def split_maybe(df: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Like ``only_maybe``; and the other rows, whose key is surely not there."""
+def mark_maybe(df: DataFrame, keys: DataFrame, marks: dict[str, str]) -> DataFrame:
+    """``df`` with a boolean column for each of ``marks`` (column to key): whether the key may be in the written table ``keys``
+    (column id). A bit filter sized by the number of keys is broadcast, so that most other rows can go before any
+    shuffle; the join that follows decides. A null key is not there. A filter at its largest size fills up as keys grow, and is left
+    out where it would tell next to nothing."""
     from pyspark.sql import functions as F
 
     n, bits = keys.count(), LEAST_BITS
     while bits < min(MOST_BITS, BITS_EACH * n):
         bits *= 2
     if n > 2 * MOST_BITS:
-        return df, df.limit(0)
+        return df.withColumns({mark: F.col(key).isNotNull() for mark, key in marks.items()})
     place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
     rows = keys.select(place("id").alias("b")).groupBy(F.expr("b div 64").alias("__w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("__v"))
     rows = stash(df.sparkSession, rows, "filter")
-    marked, on, bit = df.withColumn("__b", place(F.col(key))), F.expr("__b div 64") == F.col("__w"), "bit_get(__v, cast(__b % 64 as int))"
-    some = marked.join(F.broadcast(rows), on).where(F.expr(f"{bit} = 1"))
-    rest = marked.join(F.broadcast(rows), on, "left").where(F.expr(f"coalesce({bit}, 0) = 0"))
-    return some.drop("__b", "__w", "__v"), rest.drop("__b", "__w", "__v")
+    for mark, key in marks.items():
+        df = df.withColumn("__b", place(F.col(key))).join(F.broadcast(rows), F.expr("__b div 64") == F.col("__w"), "left")
+        df = df.withColumn(mark, F.col(key).isNotNull() & F.expr("coalesce(bit_get(__v, cast(__b % 64 as int)), 0) = 1")).drop("__b", "__w", "__v")
+    return df
+
+
+def only_maybe(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose key may be in ``keys``."""
+    return mark_maybe(df, keys, {"__may": key}).where("__may").drop("__may")
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -196,11 +212,15 @@ def components(spark: SparkSession, links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         key = lambda c: F.struct(F.xxhash64(c).alias("h"), F.col(c).alias("v"))
         to = both.groupBy("a").agg(F.min(key("b")).alias("m")).select(F.col("a").alias("node"), F.least("m", key("a"))["v"].alias("to"))
-        to = stash(spark, to, "hooks")
+        to, last = stash(spark, to, "hooks"), found
+        # nodes that a round leaves alone have no hook of their own and stay as they are
         found = to if found is None else stash(spark, found.join(to.select(F.col("node").alias("to"), F.col("to").alias("next")), "to", "left").select("node", F.coalesce("next", "to").alias("to")), "labels")
         one = edges.join(to.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(to.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
-        edges = stash(spark, one.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        edges, old = stash(spark, one.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges"), edges
+        unstash(old, *([last, to] if last is not None else []))
     if found is None:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     small = found.groupBy("to").agg(F.min("node").alias("component"))
-    return stash(spark, found.join(small, "to").select("node", "component"), "components")
+    out = stash(spark, found.join(small, "to").select("node", "component"), "components")
+    unstash(edges, found)
+    return out

@@ -7,7 +7,8 @@ identifier and position; ``keep="none"`` removes all that match anything.
 
 Suffixes that can match are brought together by anchors: the least hash of a 32-byte gram within a window is chosen
 by its content alone, so equal windows have equal anchors at equal offsets. Adjacent starts with one
-anchor form a run, whose context is the bytes that its windows cover. Runs with one context (one 128-bit digest of these bytes)
+anchor form a run, whose context is the bytes that its windows cover. A window reaches half of its other bytes to the left of its anchor
+or to the right; a run of which no such half, with the anchor, occurs elsewhere matches nothing and goes at once. Runs with one context (one 128-bit digest of these bytes)
 are counted, with map-side aggregation, and two of them stand for all: the first, and the last as its twin. The arrays are
 computed over the first runs and twins of all contexts of an anchor, in batches of a bounded number of windows, and
 what they find is removed: a context's other runs take over what is found for its twin, and are never compared by a weaker hash. Contexts of
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import batch_bytes, mix64, only_maybe, stash
+from strataq.llm.common import batch_bytes, mark_maybe, mix64, only_maybe, stash, unstash
 
 GRAM, POSITION_BITS = 32, 28
 #: Starts of a text that are hashed together, and bytes of several texts that are.
@@ -57,7 +58,8 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def runs_of(texts: list[np.ndarray], length: int):
-    """Of several texts: for each run its text, first start, number of starts, offset of the anchor, anchor and context digest."""
+    """Of several texts: for each run its text, first start, number of starts, offset of the anchor, anchor, context digest, and
+    the hashes of its left and right half, with masks of those that none of its windows reaches."""
     sizes = np.array([len(t) for t in texts], np.int64)
     b = np.concatenate(texts) if texts else np.zeros(0, np.uint8)
     if len(b) < length:
@@ -83,8 +85,14 @@ def runs_of(texts: list[np.ndarray], length: int):
     data = memoryview(b)
     ctx = [hashlib.blake2b(data[p: q], digest_size=16, salt=o).digest()
            for p, q, o in zip(first.tolist(), (first + n - 1 + length).tolist(), (int(x).to_bytes(8, "little") for x in off), strict=True)]
-    own = owner[first]
-    return own, first - (ends - sizes)[own], n, off, mix64(grams[anchor[first]]), ctx
+    own, a = owner[first], anchor[first]
+    # a window whose anchor stands at ``left`` or later covers so many bytes before it, another ``right`` bytes after it
+    left = (length - GRAM) // 2
+    right = length - GRAM - left + 1
+    no_left, no_right = off < left, off - n + 1 >= left
+    half = lambda p, q, tag: mix64((sums[q] - sums[p]) * down[p] + np.uint64(tag))
+    halves = (half(np.maximum(a - left, 0), a + GRAM, 1), no_left, half(a, np.minimum(a + GRAM + right, len(b)), 2), no_right)
+    return own, first - (ends - sizes)[own], n, off, mix64(grams[a]), ctx, halves
 
 
 def _slices(batches, rows: int = 256):
@@ -109,7 +117,7 @@ def _pieces(column, length: int):
         yield held
 
 
-_RUNS = "id long, k long, p long, n int, off int, anchor long, ctx binary"
+_RUNS = "id long, k long, p long, n int, off int, anchor long, ctx binary, l long, r long"
 
 
 def _emit_runs(length: int):
@@ -118,11 +126,12 @@ def _emit_runs(length: int):
             ids, keys = batch.column(0), batch.column(1)
             for held in _pieces(batch.column(2), length):
                 if (r := runs_of([b for _, _, b in held], length)) is not None:
-                    own, p, n, off, anchor, ctx = r
+                    own, p, n, off, anchor, ctx, (left, no_left, right, no_right) = r
                     take = pa.array(np.array([row for row, _, _ in held])[own])
                     p = p + np.array([at for _, at, _ in held])[own]
                     yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), pa.array(p, pa.int64()), pa.array(n.astype(np.int32)), pa.array(off.astype(np.int32)),
-                                                      pa.array(anchor.view(np.int64)), pa.array(ctx, pa.binary())], names=["id", "k", "p", "n", "off", "anchor", "ctx"])
+                                                      pa.array(anchor.view(np.int64)), pa.array(ctx, pa.binary()), pa.array(left.view(np.int64), mask=no_left), pa.array(right.view(np.int64), mask=no_right)],
+                                                     names=["id", "k", "p", "n", "off", "anchor", "ctx", "l", "r"])
 
     return run
 
@@ -361,10 +370,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError(f"length is at least {2 * GRAM}, and keep is first or none")
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("k", F.xxhash64("text")).select("id", "k", "text")
-    runs = stash(spark, docs.mapInArrow(_emit_runs(length), _RUNS), "runs")
-    # runs whose anchor occurs once match nothing
-    twice = stash(spark, runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("anchor").alias("id")), "anchors")
-    runs = stash(spark, only_maybe(runs, "anchor", twice).join(twice.withColumnRenamed("id", "anchor"), "anchor", "left_semi"), "repeated")
+    every = stash(spark, docs.mapInArrow(_emit_runs(length), _RUNS), "runs")
+    # runs of which no half occurs twice match nothing
+    half = every.select(F.explode(F.array("l", "r")).alias("id")).where("id is not null")
+    twice = stash(spark, half.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id"), "halves")
+    runs = stash(spark, mark_maybe(every, twice, {"in_l": "l", "in_r": "r"}).where("in_l or in_r").drop("l", "r", "in_l", "in_r"), "repeated")
+    unstash(every, twice)
     # the first run of each context stands for it, and the last, if there are several, is its twin
     order = F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("o"), "p", "k", "id", "n", "off")
     contexts = stash(spark, runs.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("c"), F.min(order).alias("f"), F.max(order).alias("g")), "contexts")
@@ -380,6 +391,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     small = cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] <= most)).mapInArrow(_cut(length), _CUT)
     found = small.repartition("anchor").sortWithinPartitions("anchor", "o", "p", "k", "ctx", "copy").mapInArrow(_sort_groups(length), _FOUND)
     found = stash(spark, found if keep == "first" else found.where("copy = 0"), "found")
+    written = [runs, contexts, picks, found]
     if not several.where(F.col("contexts") > most).isEmpty():
         large = stash(spark, cut.withColumn("picks", F.filter("picks", lambda x: x["contexts"] > most)).mapInArrow(_cut(length), _CUT), "large")
         each = stash(spark, large.mapInArrow(_each_window(length), _EACH).dropDuplicates(["anchor", "ctx", "copy", "s"]), "windows")
@@ -390,7 +402,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         sure = chosen.repartition("w").sortWithinPartitions("w", "last").mapInArrow(_confirm(length), "w binary")
         hit = each.join(by.join(sure.distinct(), "w").select("w", "a"), "w").withColumn("me", me)
         hit = hit.groupBy("anchor", "ctx", "copy").agg(_merge_starts("other", F.lit(True)), _merge_starts("earlier", F.col("me") != F.col("a")))
-        found = found.unionByName(stash(spark, hit if keep == "first" else hit.where("copy = 0"), "found"))
+        hit = stash(spark, hit if keep == "first" else hit.where("copy = 0"), "found")
+        found, written = found.unionByName(hit), [*written, large, each, by, hit]
     if keep == "none":
         state, spans = found.select("anchor", "ctx", "other"), F.col("other")
     else:  # a context's first run loses what is earlier elsewhere, all others what the twin loses
@@ -401,6 +414,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # a set: repeated rows have the same spans
     marked = marked.groupBy("id", "k").agg(F.collect_set(F.struct("p", "spans")).alias("picks")).withColumnsRenamed({"id": "i2", "k": "k2"})
     marked = stash(spark, marked, "marked")
+    unstash(*written)
     out = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     changed = only_maybe(docs, "k", marked.select(F.col("k2").alias("id"))).join(marked, same("i2", "k2")).select("id", "text", "picks").mapInArrow(_remove(length, with_text), out)
     whole = docs.select("id", "k", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"),

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataq.llm.common import fresh_path, split_maybe, stash
+from strataq.llm.common import fresh_path, mark_maybe, stash
 
 #: Fixed values of the format: the skippable frame that holds a dictionary, and the revisit profile.
 DICT_MAGIC = 0x184D2A5D
@@ -176,7 +176,8 @@ def mark_revisits(pages: DataFrame, id_col: str, url_col: str, html_col: str, mi
     owner = light.groupBy("k").agg(F.min("i").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1 and refers_to is not null").select("k", "refers_to")
     revisits = stash(pages.sparkSession, light.join(owner, "k").where("i is null or i != refers_to").distinct(), "revisits")
     full = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), p.alias("payload")).withColumn("key", F.sha2("payload", 256)).withColumn("both", F.xxhash64("id", "key"))
-    some, rest = split_maybe(full, "both", revisits.select(F.xxhash64("i", "k").alias("id")))
+    full = mark_maybe(full, revisits.select(F.xxhash64("i", "k").alias("id")), {"may": "both"})
+    some, rest = full.where("may"), full.where("not may")
     some = some.join(revisits, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left").select("id", "url", "payload", "refers_to")
     return some.union(rest.select("id", "url", "payload", F.lit(None).cast(revisits.schema["refers_to"].dataType).alias("refers_to")))
 

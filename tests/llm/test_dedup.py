@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -208,6 +210,54 @@ def test_repeats(spark, keep, most):
     assert all(hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256 for r in got)
 
 
+def batch_of(texts):
+    return pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int64()), pa.array(texts, pa.string())], names=["id", "k", "text"])
+
+
+def test_runs_cover_every_start_once(monkeypatch):
+    """Also where long texts are cut in pieces; equal windows have equal anchors at equal offsets."""
+    texts = [t for _, t in passages()] + ["ab" * 900]
+    for piece in (1 << 20, 37):
+        monkeypatch.setattr(repeats, "PIECE", piece)
+        anchor_of = {}
+        seen = set()
+        for out in repeats._emit_runs(80)(iter([batch_of(texts)])):
+            for r in out.to_pylist():
+                b = (texts[r["id"]] or "").encode()
+                assert len(r["ctx"]) == 16
+                for s in range(r["n"]):
+                    w = b[r["p"] + s: r["p"] + s + 80]
+                    assert len(w) == 80 and (r["id"], r["p"] + s) not in seen
+                    seen.add((r["id"], r["p"] + s))
+                    assert anchor_of.setdefault(w, (r["anchor"], r["off"] - s)) == (r["anchor"], r["off"] - s)
+        assert seen == {(k, p) for k, t in enumerate(texts) for p in range(len((t or "").encode()) - 79)}
+
+
+def test_long_text_in_bounded_memory():
+    """A text of 64 MB: what is held beside the text itself."""
+    text = np.random.default_rng(1).integers(97, 123, 64 << 20).astype(np.uint8).tobytes().decode()
+    batch = batch_of([text])
+    tracemalloc.start()
+    starts = sum(int(np.sum(out.column(3).to_numpy())) for out in repeats._emit_runs(400)(iter([batch])))
+    emitted = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    picks = [[{"p": p, "spans": [0, 100]} for p in range(0, 60 << 20, 1 << 16)]]
+    kind = pa.list_(pa.struct([("p", pa.int64()), ("spans", pa.list_(pa.int32()))]))
+    rows = pa.RecordBatch.from_arrays([pa.array([1]), batch.column(2), pa.array(picks, kind)], names=["id", "text", "picks"])
+    [out] = list(repeats._remove(400, False)(iter([rows])))
+    removed = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert starts == (64 << 20) - 399 and emitted < 400 << 20 and removed < 400 << 20
+    assert out.to_pylist()[0]["n_removed"] == 960 * 499 and out.to_pylist()[0]["n_spans"] == 960
+
+
+def test_digests_alone_remove_nothing():
+    """Of two windows of one digest the arrays decide: other bytes are no repeat."""
+    rows = pa.RecordBatch.from_arrays([pa.array([b"a", b"a", b"b", b"b", b"c"], pa.binary()), pa.array([0, 1, 0, 1, 0], pa.int32()),
+                                       pa.array([b"x" * 80, b"x" * 79 + b"y", b"z" * 80, b"z" * 80, b"q" * 80], pa.binary())], names=["w", "last", "bytes"])
+    assert [r["w"] for out in repeats._confirm(80)(iter([rows])) for r in out.to_pylist()] == [b"b"]
+
+
 def test_repeats_edges(spark):
     assert repeats.remove_repeats(frame(spark, []), length=80).count() == 0
     t = "".join(random.Random(2).choice("abcdef") for _ in range(300))
