@@ -10,8 +10,9 @@ with the smallest identifier. Nodes join when 100 * |intersection| >= percent *
    a node's first (100 - percent + EXTRA) percent and one more must hold a token of any node that it joins. The matrix holds, for those
    tokens, the groups that have them. A node is a query for each larger group that shares enough such tokens for the sizes of both.
 3. Opening: queries meet blocks of a candidate group's members. The block's token union bounds the overlap; only
-   blocks that qualify are opened, and one link ends the search. First one block of each group, then, for queries
-   still apart from their group, the other blocks. So no link between different components is lost.
+   blocks that qualify are opened, and one link ends the search. First one block of each group; then, for queries
+   still apart from their group, the matrix is asked again for each of the other blocks, and they meet those whose tokens allow
+   a link. So no link between different components is lost.
 
 Hot min-hashes, groups and queries are split in blocks; tokens that many documents share come last in the order.
 Groups are components of links, found by rounds of contraction on written tables.
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataq.llm.common import chunks, components, mix64, only_maybe, stash, sum_tables, words_of
+from strataq.llm.common import chunks, components, mix64, only_maybe, stash, sum_tables, unstash, words_of
 
 #: Cells of the table of token counts, and the pieces in which it is summed.
 CELL_BITS, PIECES = 18, 16
@@ -266,19 +267,19 @@ def _open(percent: int):
     return run
 
 
-def _opened(spark, docs, cand, members, width: int, percent: int) -> DataFrame:
-    """cand: q, g; members: g, id, block. Links of queries with members."""
-    parts = cand.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
-    at = members.join(parts, "g")
-    rows = at.select("g", "block", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(0).alias("role"), "id")
-    blocks = at.select("g", "block", "parts").distinct()
-    rows = rows.union(cand.join(blocks, "g").select("g", "block", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("q").alias("id")))
-    rows = stash(spark, rows, "openings")
+def _opened(spark, docs, pairs, members, width: int, percent: int) -> DataFrame:
+    """pairs: q, g, block; members: g, id, block. Links of queries with members of the blocks that they are to meet."""
+    parts = pairs.groupBy("g", "block").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("parts"))
+    rows = members.join(parts, ["g", "block"]).select("g", "block", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(0).alias("role"), "id")
+    rows = rows.union(pairs.join(parts, ["g", "block"]).select("g", "block", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("q").alias("id")))
+    rows = openings = stash(spark, rows, "openings")
     texts = only_maybe(docs, "id", rows.select("id").distinct())
     sets = texts.select("id", "text").mapInArrow(_sets(width), _SETS)
     full = rows.join(sets, "id").select("g", "block", "part", "role", "id", "tokens")
     dealt = full.repartition("g", "block", "part").sortWithinPartitions("g", "block", "part", "role", "id")
-    return stash(spark, dealt.mapInArrow(_open(percent), "a long, b long"), "links")
+    links = stash(spark, dealt.mapInArrow(_open(percent), "a long, b long"), "links")
+    unstash(openings)
+    return links
 
 
 def _relabel(nodes: DataFrame, found: DataFrame) -> DataFrame:
@@ -300,6 +301,16 @@ def _needed(percent: int):
     return F.greatest(F.lit(1.0), F.floor(F.least(at(lo), at(hi))))
 
 
+def _fits(percent: int):
+    """Whether the sizes of a query and of some member of the group allow a link, and the tokens that either can share."""
+    fits = (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent)
+    return fits & ((F.col("n") + F.col("least")) * percent <= F.least("reach", "g_reach") * (100 + percent))
+
+
+def _bounds():
+    return F.min("n").alias("least"), F.max("n").alias("most"), F.max("reach").alias("g_reach")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """One row for each document: id, n_shingles, component_id (the smallest identifier reachable) and k (a hash of the text)."""
     spark = docs.sparkSession
@@ -316,7 +327,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     labels = stash(spark, _relabel(nodes, components(spark, links)).distinct(), "labels0")
 
     # the matrix: common-last prefixes, and the groups that have their tokens
-    first = named.mapInArrow(_prefixes(width, percent, counts), "id long, n long, first array<long>")
+    first = only_maybe(named, "id", nodes).select("id", "text").mapInArrow(_prefixes(width, percent, counts), "id long, n long, first array<long>")
     size = labels.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
     known = stash(spark, labels.join(size, "label"), "groups0")
     first = stash(spark, first.join(known, "id"), "prefixes")
@@ -325,20 +336,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # then may be left with one group
     for _ in range(2):
         shared = cells.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select(F.col("token").alias("id"))
-        shared = stash(spark, shared, "tokens")
+        shared, last = stash(spark, shared, "tokens"), cells
         cells = only_maybe(cells, "token", shared).join(shared.withColumnRenamed("id", "token"), "token", "left_semi")
-        cells = stash(spark, cells.drop("reach"), "cells")
+        cells = some = stash(spark, cells.drop("reach"), "cells")
+        unstash(shared, *([last] if hasattr(last, "stashed") else []))
         alive = cells.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("n"))
         alive = alive.withColumns({"least": F.lit(0), "most": F.lit(1 << 62)}).where(F.col("c") >= _needed(percent)).select("id", "c")
         # prefix tokens that went are in no other group, so that at most ``reach`` tokens of a node can be shared
         cells = stash(spark, cells.join(alive, "id").withColumn("reach", F.col("n") - F.col("p") + F.col("c")).drop("c"), "cells")
-    matrix = cells.groupBy("token", F.col("label").alias("g")).agg(F.first("size").alias("g_size"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("reach").alias("g_reach"))
-    fits = (F.col("n") * 100 >= F.col("least") * percent) & (F.col("most") * 100 >= F.col("n") * percent)
-    fits = fits & ((F.col("n") + F.col("least")) * percent <= F.least("reach", "g_reach") * (100 + percent))
+        unstash(some)
+    matrix = cells.groupBy("token", F.col("label").alias("g")).agg(F.first("size").alias("g_size"), *_bounds())
     smaller = (F.col("size") < F.col("g_size")) | ((F.col("size") == F.col("g_size")) & (F.col("label") < F.col("g")))
-    cand = cells.join(matrix, "token").where(fits & smaller).groupBy(F.col("id").alias("q"), "g").agg(
+    cand = cells.join(matrix, "token").where(_fits(percent) & smaller).groupBy(F.col("id").alias("q"), "g").agg(
         F.count(F.lit(1)).alias("common"), F.max("n").alias("n"), F.first("g_size").alias("g_size"), F.min("least").alias("least"), F.max("most").alias("most"))
     cand = stash(spark, cand.where(F.col("common") >= _needed(percent)).select("q", "g", "g_size"), "candidates")
+    unstash(first)
     if cand.isEmpty():
         final = labels
     else:
@@ -346,16 +358,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         members = wanted.join(labels.withColumnRenamed("label", "g"), "g")
         members = stash(spark, members.select("g", "id", F.pmod(F.xxhash64("id"), F.ceil(F.col("g_size") / BLOCK)).alias("block")), "members")
         one = members.groupBy("g").agg(F.min("block").alias("block"))
-        some = _opened(spark, named, cand.select("q", "g"), members.join(one, ["g", "block"]).select("g", "id", "block"), width, percent)
+        some = _opened(spark, named, cand.select("q", "g").join(one, "g"), members.join(one, ["g", "block"]).select("g", "id", "block"), width, percent)
         over = links.union(some)
         final = stash(spark, _relabel(nodes, components(spark, over)).distinct(), "labels1")
-        if not members.join(one, ["g", "block"], "left_anti").isEmpty():
+        rest = members.join(one, ["g", "block"], "left_anti")
+        if not rest.isEmpty():
             now = final.withColumnRenamed("id", "q").withColumnRenamed("label", "now")
             of_g = final.select(F.col("id").alias("g"), F.col("label").alias("g_now"))  # a label is one of its members
             apart = stash(spark, cand.join(now, "q").join(of_g, "g").where("now != g_now").select("q", "g"), "apart")
             if not apart.isEmpty():
-                more = _opened(spark, named, apart, members.join(one, ["g", "block"], "left_anti").join(apart.select("g").distinct(), "g").select("g", "id", "block"), width, percent)
+                # the matrix again, a row for each further block: a query meets only blocks whose tokens allow a link
+                rest = stash(spark, rest.join(apart.select("g").distinct(), "g").select("g", "id", "block"), "rest")
+                of_block = cells.select("id", "token", "n", "reach").join(rest, "id").groupBy("token", "g", "block").agg(*_bounds())
+                asked = apart.join(cells.select(F.col("id").alias("q"), "token", "n", "reach"), "q").join(of_block, ["token", "g"]).where(_fits(percent))
+                pairs = asked.groupBy("q", "g", "block").agg(F.count(F.lit(1)).alias("common"), F.first("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"))
+                pairs = stash(spark, pairs.where(F.col("common") >= _needed(percent)).select("q", "g", "block"), "pairs")
+                more = _opened(spark, named, pairs, rest, width, percent)
                 final = stash(spark, _relabel(nodes, components(spark, over.union(more))).distinct(), "labels2")
+    unstash(cells)
     by_class = classes.select("digest", F.col("id").alias("node")).join(final.withColumnRenamed("id", "node"), "node").select(F.col("digest").alias("d2"), "label")
     out = rows.join(by_class, F.col("digest") == F.col("d2"), "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.coalesce("label", "id").alias("component_id"), "k")
