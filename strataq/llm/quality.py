@@ -7,7 +7,7 @@ labelled documents, gives a logit, and a temperature fitted on labelled document
 makes it a probability.
 
 The word vectors cover all documents; what is gathered is one table of fixed size for each task, summed in
-pieces by a tree. The driver holds that table (2 MB) and the vectors of the labelled sample: at most ``max_labelled`` labels, and
+pieces by a tree. The driver holds that table (9 MB) and the vectors of the labelled sample: at most ``max_labelled`` labels, and
 as many documents that carry one of them, each text once.
 
 Nulls: null and empty texts have the zero vector and get a score; null labels are left out. Without both
@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 from strataq.llm.common import chunks, mix64, stash, sum_tables, word_spans, words_of
 
 #: Hashed words, and the length of their vectors.
-WORDS, DIM, NONZERO = 1 << 14, 32, 4
+WORDS, DIM, NONZERO = 1 << 16, 32, 4
 POOLED = 3 * DIM + 1
 #: Words at which a document's own evidence weighs as much as the average document.
 PRIOR_WORDS = 8
-PIECES = 16
+PIECES = 64
 #: The bound of the labelled sample.
 MAX_LABELLED = 20_000
 
@@ -75,7 +75,7 @@ def _gather(seed: int):
                     a, b = w[:-off][same], w[off:][same]
                     total += np.bincount(a * DIM + at[k][b], sign[k][b], WORDS * DIM)
                     total += np.bincount(b * DIM + at[k][a], sign[k][a], WORDS * DIM)
-        rows = np.concatenate((total.reshape(WORDS, DIM), seen[:, None]), axis=1).reshape(PIECES, -1)
+        rows = np.concatenate((total.reshape(WORDS, DIM), seen[:, None]), axis=1).astype(np.float32).reshape(PIECES, -1)
         if seen.any():
             from pyspark import TaskContext
 
@@ -89,7 +89,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text", seed: int = 11) -> np.
     """WORDS x DIM, scaled so that every coordinate has mean 0 and spread 1 over the words that occur."""
     parts = stash(docs.sparkSession, docs.select(text_col).mapInArrow(_gather(seed), "piece int, part int, sums binary"), "vectors")
     table = np.zeros((PIECES, WORDS // PIECES * (DIM + 1)))
-    for piece, sums in sum_tables(parts).items():
+    for piece, sums in sum_tables(parts, np.float32).items():
         table[piece] = sums
     table = table.reshape(WORDS, DIM + 1)
     seen = table[:, -1:]
