@@ -273,7 +273,7 @@ def _opened(spark, docs, pairs, members, width: int, percent: int) -> DataFrame:
     rows = members.join(parts, ["g", "block"]).select("g", "block", F.explode(F.expr("sequence(0, parts - 1)")).alias("part"), F.lit(0).alias("role"), "id")
     rows = rows.union(pairs.join(parts, ["g", "block"]).select("g", "block", F.pmod(F.xxhash64("q"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), F.col("q").alias("id")))
     rows = openings = stash(spark, rows, "openings")
-    texts = only_maybe(docs, "id", rows.select("id").distinct())
+    texts = only_maybe(docs, "id", openings.select("id"))
     sets = texts.select("id", "text").mapInArrow(_sets(width), _SETS)
     full = rows.join(sets, "id").select("g", "block", "part", "role", "id", "tokens")
     dealt = full.repartition("g", "block", "part").sortWithinPartitions("g", "block", "part", "role", "id")
@@ -382,9 +382,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents that aren't the first of their component, all columns as they are. Different texts of one
-    identifier are judged each by itself; a row with a null identifier goes where an equal set has one."""
-    judged = jaccard_components(docs, id_col, text_col, width, percent)
-    gone = judged.where("component_id is not null and not id <=> component_id").select(F.col("id").alias("__id"), F.col("k").alias("__k")).distinct()
-    gone, own = stash(docs.sparkSession, gone, "near"), docs.withColumn("__own", F.xxhash64(text_col))
-    return own.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__k")), "left_anti").drop("__own")
+    """``docs`` without the documents that aren't the first of their group by identifier (null last), all columns as they are. A
+    document is an identifier and its text: different texts of one identifier are judged each by itself, rows that repeat both stay
+    together, and rows with a null identifier are documents like others."""
+    spark, own = docs.sparkSession, docs.withColumn("__own", F.xxhash64(id_col, text_col))
+    judged = jaccard_components(own.select(F.col("__own").alias("__id"), F.col(text_col).alias("text")), "__id", "text", width, percent)
+    judged = stash(spark, judged.select("id", "component_id").distinct(), "judged")
+    groups = judged.where("id != component_id").select("component_id").distinct()
+    members = judged.join(groups, "component_id").select("component_id", F.col("id").alias("__m"))
+    ids = own.select("__own", F.col(id_col).alias("__i")).distinct()
+    members = stash(spark, members.join(ids, F.col("__m") == F.col("__own")).select("component_id", "__m", "__i"), "members")
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("__i").isNull().alias("none"), "__i", "__m")).alias("f")).select(F.col("f.__m").alias("__m"))
+    gone = stash(spark, members.select("__m").join(first, "__m", "left_anti"), "near")
+    return own.join(gone, F.col("__own") == F.col("__m"), "left_anti").drop("__own")

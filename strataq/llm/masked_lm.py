@@ -17,7 +17,7 @@ once give half a count, and each cell ``FLOOR`` besides, to the rest: what a cel
 score, a block's distinct words are joined with the vocabulary and come before its documents.
 
 Nulls: null and empty texts have no words and score 0. Texts are read whole; a document of one word is predicted
-from padding. Repeated rows score alike. Empty tables give empty results. Extra columns are ignored.
+from padding. Repeated rows score alike, and meet in one block, which streams. Empty tables give empty results. Extra columns are ignored.
 """
 
 from __future__ import annotations

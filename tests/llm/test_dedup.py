@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from strataq.llm import exact_dedup, jaccard, repeats
+from strataq.llm import common, exact_dedup, jaccard, repeats
 
 SCHEMA = "doc_id long, text string, n_chars long, b string"
 
@@ -44,6 +44,34 @@ def test_drop_copies(spark):
     assert exact_dedup.drop_copies(frame(spark, [])).count() == 0
 
 
+def test_sums_meet_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(common, "FAN", 3)
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 1000, (2, 23, 5)).astype(np.float32)
+    rows = [(piece, part, x[piece, part].tobytes()) for piece in range(2) for part in range(23)]
+    parts = common.stash(spark, spark.createDataFrame(rows, "piece int, part int, sums binary"), "parts")
+    got = common.sum_tables(parts, np.float32)
+    assert all(np.array_equal(got[k], x[k].astype(float).sum(0)) for k in range(2)) and common.sum_tables(parts.limit(0)) == {}
+
+
+def test_mark_maybe(spark):
+    keys = common.stash(spark, spark.range(0, 3000, 3).select("id"), "keys")
+    table = spark.range(0, 20_000).select(F.when(F.col("id") < 19_000, F.col("id")).alias("k"), "id")
+    got = common.mark_maybe(table, keys, {"may": "k"}).collect()
+    assert len(got) == 20_000 and all(r.may for r in got if r.id < 3000 and r.id % 3 == 0) and not any(r.may for r in got if r.k is None)
+    assert sum(r.may for r in got) < 1000 + 0.15 * 18_000
+    assert not any(r.may for r in common.mark_maybe(table.limit(50), common.stash(spark, spark.range(0), "none"), {"may": "k"}).collect())
+
+
+def test_unstash(spark):
+    one = common.stash(spark, spark.range(5), "one")
+    two = common.stash(spark, one.where("id > 1"), "two")
+    common.unstash(one)
+    assert two.count() == 3
+    with pytest.raises(Exception, match="one"):
+        spark.read.parquet(one.stashed)
+
+
 def plain_index(rows):
     """digest: n, least, most, by brute force."""
     out = {}
@@ -151,6 +179,12 @@ def test_jaccard_bound_and_empty(spark):
     assert sorted(r.doc_id for r in kept.select("doc_id").distinct().where("doc_id is not null").collect()) == sorted({c for _, c in want.values()})
 
 
+def test_keep_one_judges_texts_that_share_an_identifier(spark):
+    a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
+    kept = jaccard.keep_one_of_each(frame(spark, [(1, a), (2, a + " more"), (2, b), (3, b.upper()), (None, a), (None, "alone it stands here today"), (None, None), (4, "")]))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted([(1, a), (2, b), (None, "alone it stands here today"), (None, None), (4, "")], key=str)
+
+
 def brute_repeats(rows, n, keep):
     texts = [(t or "").encode() for _, t in rows]
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
