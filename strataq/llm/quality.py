@@ -32,6 +32,8 @@ POOLED = 3 * DIM + 1
 #: Words at which a document's own evidence weighs as much as the average document.
 PRIOR_WORDS = 8
 PIECES = 16
+#: Words whose contexts are counted at once.
+COUNTED = 1 << 19
 #: The bound of the labelled sample.
 MAX_LABELLED = 20_000
 
@@ -57,16 +59,28 @@ def _endings(texts) -> np.ndarray:
     return (mix64(x) % np.uint64(WORDS)).astype(np.int64)
 
 
+def _hashed(batches, most: int = COUNTED):
+    """Hashed words, endings and each word's text, of about ``most`` words at once. Words are hashed in small chunks, for that
+    takes some fifty bytes for each byte of text."""
+    held, n, texts_so_far = [], 0, 0
+    for texts in chunks(b.column(0) for b in batches):
+        w, counts = _tokens(texts)
+        if not len(w):
+            continue
+        held.append((w.astype(np.int32), _endings(texts).astype(np.int32), np.repeat(np.arange(len(counts), dtype=np.int32) + np.int32(texts_so_far), counts)))
+        n, texts_so_far = n + len(w), texts_so_far + len(counts)
+        if n >= most:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, n, texts_so_far = [], 0, 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
 def _gather(seed: int):
     def run(batches):
         (at, sign), (at2, sign2) = _index_vectors(seed, WORDS), _index_vectors(seed + 1, WORDS)
         total, seen = np.zeros(WORDS * DIM), np.zeros(WORDS)
-        for texts in chunks((b.column(0) for b in batches), 8 << 20):
-            w, counts = _tokens(texts)
-            if not len(w):
-                continue
-            e = _endings(texts)
-            doc = np.repeat(np.arange(len(counts)), counts)
+        for w, e, doc in _hashed(batches):
             seen += np.bincount(w, minlength=WORDS)
             for k in range(NONZERO):
                 total += np.bincount(w * DIM + at2[k][e], sign2[k][e], WORDS * DIM)

@@ -2,6 +2,8 @@
 
 import io
 import re
+import tracemalloc
+from types import SimpleNamespace
 from urllib.parse import urlsplit
 
 import numpy as np
@@ -157,6 +159,19 @@ def test_word_vectors_and_pooling_by_plain_loops(spark):
         assert np.allclose(p, np.concatenate((x.mean(0), x.std(0), step, [len(x) / (len(x) + quality.PRIOR_WORDS)])), atol=1e-3)
 
 
+def test_word_vectors_take_little_memory_for_each_byte(monkeypatch):
+    """Two of these workers share an executor with its JVM."""
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    batch = pa.RecordBatch.from_arrays([pa.array(["some words of a longer text, again and again " * 40] * 4000)], names=["text"])
+    tracemalloc.start()
+    out = list(quality._gather(11)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    seen = np.concatenate([np.frombuffer(x, np.float32) for x in out[0].column(2).to_pylist()]).reshape(quality.WORDS, -1)[:, -1]
+    assert seen.sum() == 4000 * 40 * 9
+    assert peak < 15 * batch.nbytes
+
+
 def test_labelled_rows_are_bounded(spark):
     """An identifier that stands on many rows gives its text once, and no more than the bound are collected."""
     lab = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
