@@ -103,6 +103,16 @@ def test_joins(market):
     assert sorted(vals(n)) == [(3, 3), (5, 2)]
 
 
+def test_many_rows_out_come_from_many_tasks(spark):
+    sizes = sorted(r["count"] for r in QUERIES["join_null_keys"](spark, DATA).groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) >= 4 and sizes[-1] < sum(sizes) / 2  # one small file is one task
+    c = Catalog(spark, DATA)
+    rows = lambda kind, many: sorted(map(tuple, Query.table(c, "customer", "c").join("supplier", ("c.c_nationkey", "s.s_nationkey"), kind=kind, alias="s", many=many)
+                                         .select("c.c_custkey", "s.s_suppkey").collect()), key=repr)
+    for kind in ("inner", "left", "right", "full"):
+        assert rows(kind, True) == rows(kind, False)
+
+
 def test_set_operations(spark, market):
     bag = lambda *x: spark.createDataFrame([(v,) for v in x], "x string")
     c = Catalog(spark, tables={"l": bag("q", "p", "q", None, "q", None), "r": bag(None, "q"), "i": spark.createDataFrame([(1,)], "x int")})
