@@ -166,7 +166,7 @@ _ROOTS = pa.schema([("id", pa.int64()), ("root", pa.int64()), ("mh", pa.int64())
 
 def _group_blocks(percent: int):
     def run(batches):
-        key, groups, nb = None, None, 1
+        key, groups, nb, last = None, None, 1, None
 
         def close():
             rows = []
@@ -184,8 +184,10 @@ def _group_blocks(percent: int):
                 if (mh, block) != key:
                     if groups is not None:
                         yield from close()
-                    key, groups, nb = (mh, block), Groups(percent), n
-                groups.add(node, np.frombuffer(tokens, np.uint64))
+                    key, groups, nb, last = (mh, block), Groups(percent), n, None
+                if node != last:  # a root of two blocks comes twice
+                    groups.add(node, np.frombuffer(tokens, np.uint64))
+                last = node
         if groups is not None:
             yield from close()
 
@@ -206,7 +208,7 @@ def _first_groups(spark, docs, nodes, width: int, percent: int) -> DataFrame:
         dealt = rows.repartition("mh", "block").sortWithinPartitions("mh", "block", "id")
         out = stash(spark, dealt.mapInArrow(_group_blocks(percent), "id long, root long, mh long, nb long, tokens binary"), "groups")
         links.append(out.where("id != root").select(F.col("id").alias("a"), F.col("root").alias("b")))
-        roots = out.where("tokens is not null").select("id", "tokens").dropDuplicates(["id"])
+        roots = out.where("tokens is not null").select("id", "tokens")
         if level == KEYS + LEVELS - 1 or roots.isEmpty():
             break
         # roots of one family mostly share their next min-hash too; others part ways here

@@ -63,6 +63,30 @@ def test_mark_maybe(spark):
     assert not any(r.may for r in common.mark_maybe(table.limit(50), common.stash(spark, spark.range(0), "none"), {"may": "k"}).collect())
 
 
+@pytest.mark.parametrize("one_task", [0, 60, 1 << 17])
+def test_components(spark, one_task, monkeypatch):
+    rng = random.Random(3)
+    links = [(k, k + 1) for k in range(-40, 40)] + [(rng.randrange(100, 300), rng.randrange(100, 300)) for _ in range(120)] + [(500, 500), (7, 3), (3, 7), (3, 7)]
+    label = {n: n for ab in links for n in ab if ab[0] != ab[1]}
+    while (now := {n: min([label[n]] + [label[b if a == n else a] for a, b in links if n in (a, b) and a != b]) for n in label}) != label:
+        label = now
+    written, real = [], common.stash
+    monkeypatch.setattr(common, "stash", lambda s, df, what: written.append(what) or real(s, df, what))
+    got = common.components(spark, spark.createDataFrame(links, "a long, b long"), one_task).collect()
+    assert sorted((r.node, r.component) for r in got) == sorted(label.items())
+    # a graph that fits in one task is one step, not a dozen of written tables
+    assert one_task < len(links) or written == ["edges", "hooks"]
+    assert common.components(spark, spark.createDataFrame([(1, 1)], "a long, b long"), one_task).count() == 0
+
+
+def test_a_root_of_two_blocks_counts_once():
+    s = np.arange(9, dtype=np.uint64).tobytes()
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 1, 2, 2], pa.int64()), pa.array([5] * 4, pa.int64()), pa.array([2] * 4, pa.int64()), pa.array([0] * 4, pa.int64()), pa.array([s] * 4, pa.binary())],
+                                       names=["id", "mh", "nb", "block", "tokens"])
+    out = [(r["id"], r["root"], r["tokens"]) for b in jaccard._group_blocks(80)([batch]) for r in b.to_pylist()]
+    assert out == [(1, 1, s), (2, 1, None)]
+
+
 def test_unstash(spark):
     one = common.stash(spark, spark.range(5), "one")
     two = common.stash(spark, one.where("id > 1"), "two")
